@@ -5,6 +5,10 @@ depending on the order rows were added, which differs between runs and
 partitionings. Measures are therefore accumulated as decimals (exact for
 inputs with up to ``SCALE`` fractional digits), rounded half-up, and
 returned as double like the floating versions.
+
+Decimal widths are chosen so quotients keep at least 12 fractional digits
+(a ``decimal(38, s)`` numerator would leave Spark only 6, and a second
+rounding from 6 places can move a result near a .xx5 tie).
 """
 
 from __future__ import annotations
@@ -13,24 +17,35 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SCALE = 6
-DEC = f"decimal(28,{SCALE})"
+DEC = f"decimal(18,{SCALE})"      # one input value
+SUM_DEC = f"decimal(28,{SCALE})"  # a sum of inputs
 
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def exact_sum(col: str | Column) -> Column:
+    """Unrounded decimal sum of ``col`` (``SUM_DEC``)."""
+    return F.sum(_c(col).cast(DEC)).cast(SUM_DEC)
+
+
+def div_half_up(num: Column, den: Column, digits: int = 2) -> Column:
+    """``round(num / den, digits)`` half-up as double; null when den is 0/null."""
+    return F.round(F.try_divide(num.cast(SUM_DEC), den), digits).cast("double")
+
+
 def half_up_sum(col: str | Column, digits: int = 2) -> Column:
     """``round(sum(col), digits)``; null when every input is null."""
-    return F.round(F.sum(_c(col).cast(DEC)), digits).cast("double")
+    return F.round(exact_sum(col), digits).cast("double")
 
 
 def half_up_avg(col: str | Column, digits: int = 2) -> Column:
     """``round(avg(col), digits)`` over non-null inputs; null if there are none."""
     c = _c(col)
-    return F.round(F.try_divide(F.sum(c.cast(DEC)), F.count(c)), digits).cast("double")
+    return div_half_up(exact_sum(c), F.count(c), digits)
 
 
 def half_up_ratio(num: str | Column, den: str | Column, digits: int = 2) -> Column:
     """``round(num / den, digits)`` for row values; null when ``den`` is 0 or null."""
-    return F.round(F.try_divide(_c(num).cast(DEC), _c(den).cast(DEC)), digits).cast("double")
+    return div_half_up(_c(num).cast(DEC), _c(den).cast(DEC), digits)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from triplake.functions import half_up_avg, half_up_ratio, half_up_sum
-from triplake.functions.numeric import DEC
+from triplake.functions.numeric import SUM_DEC, div_half_up, exact_sum
 
 
 def kpis(fct_rides: DataFrame) -> DataFrame:
@@ -18,17 +18,16 @@ def kpis(fct_rides: DataFrame) -> DataFrame:
     """
     per_driver = fct_rides.groupBy("driver_id").agg(
         F.count(F.lit(1)).alias("rides"),
-        F.sum(F.col("revenue").cast(DEC)).alias("rev"),
-        F.sum(F.col("fare_amount").cast(DEC)).alias("fare_sum"),
+        exact_sum("revenue").alias("rev"),
+        exact_sum("fare_amount").alias("fare_sum"),
         F.count("fare_amount").alias("fare_n"),
         F.max("driver_rating").alias("rating"),
     )
     return per_driver.agg(
-        F.round(F.sum("rev"), 2).cast("double").alias("total_revenue"),
+        F.round(F.sum("rev").cast(SUM_DEC), 2).cast("double").alias("total_revenue"),
         F.sum("rides").alias("total_rides"),
-        F.round(F.try_divide(F.sum("fare_sum"), F.sum("fare_n")), 2).cast("double").alias("avg_fare"),
-        F.round(F.try_divide(F.round(F.sum("rev"), 2), F.sum("rides")), 2).cast("double")
-        .alias("revenue_per_ride"),
+        div_half_up(F.sum("fare_sum"), F.sum("fare_n"), 2).alias("avg_fare"),
+        div_half_up(F.round(F.sum("rev").cast(SUM_DEC), 2), F.sum("rides"), 2).alias("revenue_per_ride"),
         half_up_avg(F.when(F.col("driver_id").isNotNull(), F.col("rating")), 2).alias("avg_driver_rating"),
         F.count("driver_id").alias("active_drivers"),
     )

@@ -41,20 +41,23 @@ def _ntz(c: str):
     return F.col(c).cast("timestamp_ntz").alias(c)
 
 
-EVENT_COLUMNS = [
+def event_columns() -> list:
+    """The 19 event fields with the two points flattened (built lazily:
+    Column objects need an active session)."""
+    return [
     "event_id", "event_type", "event_time", "ride_id", "city", "rider_id", "driver_id",
     "vehicle_type",
     F.col("pickup.lat").alias("pickup_lat"), F.col("pickup.lon").alias("pickup_lon"),
     F.col("dropoff.lat").alias("dropoff_lat"), F.col("dropoff.lon").alias("dropoff_lon"),
     "duration_min", "distance_km", "fare_amount", "amount", "currency", "payment_method",
     "status", "cancelled_by", "reason",
-]
+    ]
 
 
 def _bronze_rows(df: DataFrame) -> DataFrame:
     """Bronze minus the wall-clock ``ingest_time``, flattened, ntz times."""
     return df.select(
-        *EVENT_COLUMNS, _ntz("kafka_time"), _ntz("event_timestamp"), "is_valid_city",
+        *event_columns(), _ntz("kafka_time"), _ntz("event_timestamp"), "is_valid_city",
         "ride_duration_min", "source_topic", "event_date",
     )
 
@@ -74,7 +77,7 @@ def _transformed(spark, sf) -> DataFrame:
 # -- Bronze -------------------------------------------------------------------- #
 def bronze_parse(spark, sf):
     parsed = B.parse(fx.envelopes(spark, sf))
-    return parsed.select(*EVENT_COLUMNS, _ntz("kafka_time"))
+    return parsed.select(*event_columns(), _ntz("kafka_time"))
 
 
 def bronze_clean(spark, sf):
