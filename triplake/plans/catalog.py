@@ -126,13 +126,21 @@ def _topic_files(spark, sf, root: str) -> tuple[str, DataFrame]:
     return f"{root}/topic", env
 
 
+def _par(spark) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def bronze_stream_land(spark, sf):
-    """Messages as files -> stream (several micro-batches) -> Bronze, read back."""
+    """Messages as files -> stream (two micro-batches) -> Bronze, read back.
+
+    The topic stand-in gets one file per core per batch, like a topic with
+    that many partitions, so each micro-batch runs all its tasks at once.
+    """
     root = scratch_path(spark, "stream")
     topic, env = _topic_files(spark, sf, root)
-    env.repartition(4).write.parquet(topic)
+    env.repartition(2 * _par(spark)).write.parquet(topic)
     bronze_stream.run_available(
-        bus.file_stream(spark, topic, max_files_per_trigger=1),
+        bus.file_stream(spark, topic, max_files_per_trigger=_par(spark)),
         f"{root}/bronze", f"{root}/_checkpoint", LENS_CONFIG)
     return _bronze_rows(src.read_bronze(spark, f"{root}/bronze"))
 
@@ -142,10 +150,10 @@ def bronze_stream_resume(spark, sf):
     root = scratch_path(spark, "resume")
     topic, env = _topic_files(spark, sf, root)
     split = F.col("timestamp") < F.lit(STREAM_SPLIT_AT).cast("timestamp")
-    env.filter(split).repartition(2).write.mode("append").parquet(topic)
-    stream = lambda: bus.file_stream(spark, topic, max_files_per_trigger=1)
+    env.filter(split).repartition(_par(spark)).write.mode("append").parquet(topic)
+    stream = lambda: bus.file_stream(spark, topic, max_files_per_trigger=_par(spark))
     bronze_stream.run_available(stream(), f"{root}/bronze", f"{root}/_checkpoint", LENS_CONFIG)
-    env.filter(~split).repartition(2).write.mode("append").parquet(topic)
+    env.filter(~split).repartition(_par(spark)).write.mode("append").parquet(topic)
     bronze_stream.run_available(stream(), f"{root}/bronze", f"{root}/_checkpoint", LENS_CONFIG)
     return src.read_bronze(spark, f"{root}/bronze").groupBy("event_type").agg(
         F.count(F.lit(1)).alias("rows"),

@@ -11,10 +11,14 @@ from triplake.schemas import BRONZE_PARTITIONS, SILVER_PARTITIONS
 def append_bronze(df: DataFrame, path: str, cfg: LakeConfig = LakeConfig()) -> None:
     """Append rows under ``event_date=/event_type=`` directories.
 
-    No shuffle: each task writes its own rows (the writer sorts locally by
-    the partition columns); the per-file row cap bounds file size.
+    Without a shuffle every task would write one file into every directory
+    it touches (tasks x dates x types small files, per micro-batch). A
+    ``rebalance`` on the partition columns lets AQE size the write tasks:
+    small directories are coalesced into one task, a hot date/type (a third
+    of all rows, say) is split over several tasks, so file count and size
+    stay bounded at any volume. The per-file row cap is a second bound.
     """
-    w = df.write.mode("append").partitionBy(*BRONZE_PARTITIONS)
+    w = df.hint("rebalance", *BRONZE_PARTITIONS).write.mode("append").partitionBy(*BRONZE_PARTITIONS)
     if cfg.max_records_per_file:
         w = w.option("maxRecordsPerFile", cfg.max_records_per_file)
     w.parquet(path)
