@@ -17,9 +17,10 @@ def build_rides(bronze: DataFrame) -> DataFrame:
     """Ended rides left-joined to their payments on ``ride_id``.
 
     Unpaid rides stay (null payment columns); a duplicated payment fans the
-    ride out, which the ``unique`` table test reports. Both sides are large
-    and keyed by ride, so this is a shuffled join (never broadcast); AQE
-    splits a skewed ride partition if one appears.
+    ride out, which the ``unique`` table test reports. Both sides grow with
+    the data and are keyed by ride, so at scale this is a shuffled join (Spark
+    broadcasts the payment slice only while its files are under the broadcast
+    threshold); AQE splits a skewed ride partition if one appears.
     """
     ended = slice_type(bronze, "ride_ended").select(*RIDE_COLUMNS)
     pay = slice_type(bronze, "payment_completed").select(
