@@ -125,3 +125,26 @@ def test_bronze_write_is_rebalanced(spark, raw_frame, tmp_lake):
     from tests.conftest import plan_text
     df = B.transform(raw_frame(_ride(1, 1))).hint("rebalance", "event_date", "event_type")
     assert "REBALANCE_PARTITIONS_BY_COL" in plan_text(df)
+
+
+def test_pipeline_registers_layers_by_name(spark, raw_frame, tmp_lake):
+    from triplake.plans import pipeline as P
+    paths = jobs.LakePaths(tmp_lake)
+    _land(raw_frame, paths, _ride(1, 1))
+    _seeds(spark, paths)
+    P.run_daily(spark, paths, None)
+    assert spark.table("raw.rides").count() == 1
+    assert spark.table("gold.fct_rides").count() == 1
+    assert spark.sql("SELECT COUNT(*) AS n FROM stg_rides").first()["n"] == 1
+    names = {d.name for d in spark.catalog.listDatabases()}
+    assert {"raw", "staging", "gold"} <= names
+
+
+def test_cli_gate_exit_codes(spark, raw_frame, tmp_lake, capsys):
+    from triplake import cli
+    paths = jobs.LakePaths(tmp_lake)
+    _land(raw_frame, paths, _ride(1, 1) + _ride(2, 1, amount=-1.0))
+    jobs.run_silver(spark, paths, None)
+    assert cli.main(["gate", "--lake-root", tmp_lake], spark=spark) == 1
+    assert spark.range(1).count() == 1  # session still usable
+    assert "fare_amount" in capsys.readouterr().out

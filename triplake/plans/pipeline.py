@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 from triplake.config import LakeConfig
 from triplake.operators import quality as Q
 from triplake.plans import jobs
+from triplake.plans import namespaces as ns
 from triplake.session import configure
 from triplake.sources import lake as src
 
@@ -39,6 +40,7 @@ def run_daily(spark: SparkSession, paths: jobs.LakePaths, date: str | None,
     """Run the batch side for ``date`` (None = every date in Bronze)."""
     configure(spark)
     rep = RunReport(date)
+    ns.ensure_namespaces(spark, paths)
 
     wrote = jobs.run_silver(spark, paths, date)
     rep.add("silver_batch", "ok" if wrote else "skipped", "" if wrote else "no Bronze rows")
@@ -59,6 +61,8 @@ def run_daily(spark: SparkSession, paths: jobs.LakePaths, date: str | None,
     rep.add("dq_gate", "ok")
 
     jobs.load_raw(spark, paths)
+    ns.register_raw(spark, paths)
+    ns.register_staging_views(spark)
     rep.add("load_raw", "ok")
 
     # Gold in dependency order; a failed dim test skips the fact that needs it
@@ -74,6 +78,7 @@ def run_daily(spark: SparkSession, paths: jobs.LakePaths, date: str | None,
             raise TableTestError("dimension tests failed")
         return rep
     jobs.build_gold(spark, paths, models=("fct_rides", "fct_daily_city_metrics", "fct_hourly_demand"))
+    ns.register_gold(spark, paths)
     rep.add("gold_facts", "ok")
 
     tests = Q.model_tests(jobs.read_gold(spark, paths), cfg).collect()
