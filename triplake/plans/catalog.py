@@ -127,7 +127,10 @@ def _topic_files(spark, sf, root: str) -> tuple[str, DataFrame]:
 
 
 def _par(spark) -> int:
-    return spark.sparkContext.defaultParallelism
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - remote session
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
 def bronze_stream_land(spark, sf):

@@ -32,7 +32,7 @@ def seeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _key(spark, sf_dir, stage):
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), stage)
+    return (spark.conf.get("spark.app.id", None), sf_dir.rstrip("/"), stage)
 
 
 def bronze_lake(spark: SparkSession, sf_dir: str) -> jobs.LakePaths:

@@ -51,15 +51,22 @@ def shared_dir(spark: SparkSession) -> str:
     Only when the session names none (a local test run) do we create one
     under the machine's temp folder and register it as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        try:  # classic sessions may have had a directory set at run time
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext on a remote session
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="triplake-ckpt-")
-        sc.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:  # noqa: BLE001
+            pass
     return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared dir for one run's tables."""
-    app = spark.sparkContext.applicationId
+    app = spark.conf.get("spark.app.id", None) or "app"
     return f"{shared_dir(spark)}/triplake/{app}/{name}-{uuid.uuid4().hex[:12]}"

@@ -8,19 +8,28 @@ from triplake.schemas import ENVELOPE_SCHEMA
 
 
 def kafka_stream(spark: SparkSession, bootstrap: str, topic: str,
-                 starting_offsets: str = "earliest") -> DataFrame:
+                 starting_offsets: str = "earliest",
+                 max_offsets_per_trigger: int | None = None,
+                 min_partitions: int | None = None) -> DataFrame:
     """Subscribe to a topic from the earliest offset.
 
+    ``max_offsets_per_trigger`` bounds a micro-batch (a backlog after an
+    outage is drained in bounded steps instead of one huge batch);
+    ``min_partitions`` splits large topic partitions over more tasks.
     Needs the Kafka connector on the classpath; it is not part of this
     environment, so only the file-backed stand-in below is exercised here.
     """
-    return (
+    r = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .load()
     )
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    if min_partitions:
+        r = r.option("minPartitions", min_partitions)
+    return r.load()
 
 
 def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
