@@ -148,3 +148,14 @@ def test_cli_gate_exit_codes(spark, raw_frame, tmp_lake, capsys):
     assert cli.main(["gate", "--lake-root", tmp_lake], spark=spark) == 1
     assert spark.range(1).count() == 1  # session still usable
     assert "fare_amount" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("cache", [True, False])
+def test_batch_summary_same_with_and_without_cache(spark, tmp_lake, cache):
+    topic = f"{tmp_lake}/topic"
+    rows = envelope_rows(_ride(1, 1) + _ride(2, 1) + ["not json"])
+    spark.createDataFrame(rows, ENVELOPE_SCHEMA).coalesce(1).write.parquet(topic)
+    summaries = []
+    bronze_stream.run_available(bus.file_stream(spark, topic), f"{tmp_lake}/b", f"{tmp_lake}/c",
+                                LakeConfig(), summaries, cache_batches=cache)
+    assert summaries == [(0, 6, [("payment_completed", 2), ("ride_ended", 2), ("ride_requested", 2)])]

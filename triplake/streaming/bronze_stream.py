@@ -1,8 +1,10 @@
 """The Bronze stream: a stateless map from bus messages to Bronze files.
 
-Each micro-batch is persisted once, counted, appended under
-``event_date=/event_type=`` and summarised per event type from the cached
-rows; an empty batch writes nothing. The checkpoint holds offsets only
+Each micro-batch is appended under ``event_date=/event_type=`` and
+summarised per event type; an empty batch writes nothing. By default the
+summary is collected with ``observe`` during the write itself (one pass,
+nothing cached); ``cache_batches=True`` instead persists the batch, counts
+and summarises it from the cache, writes, and releases it. The checkpoint holds offsets only
 (no state), so a restart resumes after the last committed batch. The sink
 is at-least-once: a batch replayed after a driver failure between write
 and commit appends its rows again (Silver's distinct counts absorb that).
@@ -12,7 +14,8 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from triplake.config import LakeConfig
@@ -22,10 +25,26 @@ from triplake.sinks import lake as sink
 log = logging.getLogger(__name__)
 
 
-def batch_writer(bronze_path: str, cfg: LakeConfig = LakeConfig(), summaries: list | None = None):
+def batch_writer(bronze_path: str, cfg: LakeConfig = LakeConfig(), summaries: list | None = None,
+                 cache_batches: bool = False):
     """Build the ``foreachBatch`` callback."""
 
-    def write_batch(batch_df: DataFrame, batch_id: int) -> None:
+    def write_observed(batch_df: DataFrame, batch_id: int) -> None:
+        # emptiness probe stops at the first valid row; the counts come from
+        # the write's own pass
+        if batch_df.isEmpty():
+            return
+        obs = Observation(f"bronze_batch_{batch_id}")
+        observed = batch_df.observe(obs, *[
+            F.count_if(F.col("event_type") == t).alias(t) for t in cfg.event_types])
+        sink.append_bronze(observed, bronze_path, cfg)
+        counts = sorted((t, n) for t, n in obs.get.items() if n)
+        total = sum(n for _, n in counts)
+        log.info("batch %s: wrote %s events to Bronze %s", batch_id, total, counts)
+        if summaries is not None:
+            summaries.append((batch_id, total, counts))
+
+    def write_cached(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
         try:
             # the per-type summary (<= 6 rows) is the first action: it fills
@@ -41,16 +60,17 @@ def batch_writer(bronze_path: str, cfg: LakeConfig = LakeConfig(), summaries: li
         finally:
             batch_df.unpersist()
 
-    return write_batch
+    return write_cached if cache_batches else write_observed
 
 
 def start(raw_stream: DataFrame, bronze_path: str, checkpoint: str,
           cfg: LakeConfig = LakeConfig(), available_now: bool = False,
-          interval: str | None = None, summaries: list | None = None) -> StreamingQuery:
+          interval: str | None = None, summaries: list | None = None,
+          cache_batches: bool = False) -> StreamingQuery:
     """Start the stream; ``available_now`` drains what is there and stops."""
     w = (
         B.transform(raw_stream, cfg)
-        .writeStream.foreachBatch(batch_writer(bronze_path, cfg, summaries))
+        .writeStream.foreachBatch(batch_writer(bronze_path, cfg, summaries, cache_batches))
         .option("checkpointLocation", checkpoint)
     )
     if available_now:
@@ -63,9 +83,10 @@ def start(raw_stream: DataFrame, bronze_path: str, checkpoint: str,
 
 def run_available(raw_stream: DataFrame, bronze_path: str, checkpoint: str,
                   cfg: LakeConfig = LakeConfig(), summaries: list | None = None,
-                  timeout_s: int = 1800) -> None:
+                  timeout_s: int = 1800, cache_batches: bool = False) -> None:
     """Bounded run: land everything available, then return."""
-    q = start(raw_stream, bronze_path, checkpoint, cfg, available_now=True, summaries=summaries)
+    q = start(raw_stream, bronze_path, checkpoint, cfg, available_now=True, summaries=summaries,
+              cache_batches=cache_batches)
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
