@@ -157,27 +157,36 @@ def test_unique(df: DataFrame, model: str, column: str) -> DataFrame:
     return _result(dup, model, column, "unique")
 
 
-def test_not_null(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
-    """One pass over the table for all not-null tests on it."""
-    agg = df.agg(*[count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)])
-    rows = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("failures"))
-        for i, c in enumerate(columns)
-    ])
-    return agg.select(F.inline(rows)).select(
-        F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"), "failures",
+def column_tests(df: DataFrame, model: str, not_null: Sequence[str] = (),
+                 accepted: tuple[str, Sequence[str]] | None = None) -> DataFrame:
+    """``not_null`` tests and an ``accepted_values`` test of one table in ONE pass.
+
+    not_null failures = null rows; accepted_values failures = distinct
+    non-null values outside the list (one failing row each, nulls ignored).
+    """
+    aggs = [count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(not_null)]
+    rows = [F.struct(F.lit(c).alias("column_name"), F.lit("not_null").alias("test"),
+                     F.col(f"n{i}").alias("failures")) for i, c in enumerate(not_null)]
+    if accepted is not None:
+        column, values = accepted
+        c = F.col(column)
+        aggs.append(F.count_distinct(F.when(c.isNotNull() & ~c.isin(*values), c)).alias("av"))
+        rows.append(F.struct(F.lit(column).alias("column_name"), F.lit("accepted_values").alias("test"),
+                             F.col("av").alias("failures")))
+    return df.agg(*aggs).select(F.inline(F.array(*rows))).select(
+        F.lit(model).alias("model"), "column_name", "test", "failures",
         F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")).alias("status"),
     )
 
 
+def test_not_null(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
+    """One pass over the table for all not-null tests on it."""
+    return column_tests(df, model, not_null=columns)
+
+
 def test_accepted_values(df: DataFrame, model: str, column: str, values: Sequence[str]) -> DataFrame:
     """Failures = distinct values outside the accepted list (nulls ignored)."""
-    bad = (
-        df.filter(F.col(column).isNotNull() & ~F.col(column).isin(*values))
-        .groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.count(F.lit(1)).alias("failures"))
-    )
-    return _result(bad, model, column, "accepted_values")
+    return column_tests(df, model, accepted=(column, values))
 
 
 def test_relationships(child: DataFrame, model: str, column: str,
@@ -201,8 +210,7 @@ def model_tests(gold: dict, cfg: LakeConfig) -> DataFrame:
         test_unique(r, "dim_rider", "rider_id"),
         test_not_null(r, "dim_rider", ["rider_id"]),
         test_unique(f, "fct_rides", "ride_id"),
-        test_not_null(f, "fct_rides", ["ride_id", "city", "revenue"]),
-        test_accepted_values(f, "fct_rides", "city", cfg.valid_cities),
+        column_tests(f, "fct_rides", ["ride_id", "city", "revenue"], ("city", cfg.valid_cities)),
         test_relationships(f, "fct_rides", "driver_id", d, "driver_id"),
         test_not_null(gold["fct_daily_city_metrics"], "fct_daily_city_metrics",
                       ["metric_date", "total_rides"]),
