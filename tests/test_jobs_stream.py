@@ -159,3 +159,16 @@ def test_batch_summary_same_with_and_without_cache(spark, tmp_lake, cache):
     bronze_stream.run_available(bus.file_stream(spark, topic), f"{tmp_lake}/b", f"{tmp_lake}/c",
                                 LakeConfig(), summaries, cache_batches=cache)
     assert summaries == [(0, 6, [("payment_completed", 2), ("ride_ended", 2), ("ride_requested", 2)])]
+
+
+def test_read_bronze_by_date_lists_only_that_date(spark, raw_frame, tmp_lake):
+    from tests.conftest import plan_text
+    paths = jobs.LakePaths(tmp_lake)
+    _land(raw_frame, paths, _ride(1, 1) + _ride(1, 2))
+    df = src.read_bronze(spark, paths.bronze, ["2024-01-02"])
+    assert {str(r["event_date"]) for r in df.collect()} == {"2024-01-02"}
+    assert "event_date=2024-01-01" not in plan_text(df)
+    # absent date: no rows, no error; absent Bronze: typed error
+    assert src.read_bronze(spark, paths.bronze, ["2024-01-09"]).count() == 0
+    with pytest.raises(src.MissingLayerError):
+        src.read_bronze(spark, f"{tmp_lake}/none", ["2024-01-09"])

@@ -67,7 +67,7 @@ def run_silver(spark: SparkSession, paths: LakePaths, date: str | None = None,
     partitions stay as they are. Only the dates produced are replaced.
     """
     if bronze is None:
-        bronze = src.read_bronze(spark, paths.bronze)
+        bronze = src.read_bronze(spark, paths.bronze, [date] if date else None)
     bronze = S.for_date(bronze, date)
     if bronze.isEmpty():
         return False

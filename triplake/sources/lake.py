@@ -60,8 +60,25 @@ def read_layer(spark: SparkSession, path: str, layer: str,
         raise MissingLayerError(layer, path, exc) from exc
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return read_layer(spark, path, "bronze", BRONZE_SCHEMA)
+def read_bronze(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:
+    """Bronze, optionally only some ``event_date`` partitions.
+
+    With ``dates`` only those date folders are listed (``basePath`` keeps
+    the partition columns), instead of listing the whole history and then
+    pruning; a date without a folder simply contributes no rows.
+    """
+    if not dates:
+        return read_layer(spark, path, "bronze", BRONZE_SCHEMA)
+    reader = spark.read.schema(BRONZE_SCHEMA).option("basePath", path)
+    try:
+        return reader.parquet(*[f"{path}/event_date={d}" for d in dates])
+    except AnalysisException:
+        # some date folder is absent: fall back to the pruned full read
+        # (raises MissingLayerError if Bronze itself is missing)
+        from pyspark.sql import functions as F
+
+        full = read_layer(spark, path, "bronze", BRONZE_SCHEMA)
+        return full.filter(F.col("event_date").isin(*[F.lit(d).cast("date") for d in dates]))
 
 
 def read_seed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
