@@ -172,3 +172,20 @@ def test_read_bronze_by_date_lists_only_that_date(spark, raw_frame, tmp_lake):
     assert src.read_bronze(spark, paths.bronze, ["2024-01-09"]).count() == 0
     with pytest.raises(src.MissingLayerError):
         src.read_bronze(spark, f"{tmp_lake}/none", ["2024-01-09"])
+
+
+def test_failed_dim_test_skips_facts(spark, raw_frame, tmp_lake):
+    from triplake.plans import pipeline as P
+    paths = jobs.LakePaths(tmp_lake)
+    _land(raw_frame, paths, _ride(1, 1))
+    row = ("driver_1", "A", 4.5, "Z", "go", "2023-01-01")
+    write_seed(spark.createDataFrame([row, row],
+                                     "driver_id string, driver_name string, rating double, home_zone string, "
+                                     "primary_vehicle string, joined_date string"), paths.seed_drivers)
+    write_seed(spark.createDataFrame([("rider_1", "B", "vip", "2023-02-01")],
+                                     "rider_id string, rider_name string, segment string, signup_date string"),
+               paths.seed_riders)
+    rep = P.run_daily(spark, paths, None)
+    assert ("gold_dims", "failed", "") in rep.steps and rep.steps[-1][:2] == ("gold_facts", "skipped")
+    with pytest.raises(P.TableTestError):
+        P.run_daily(spark, paths, None, strict_tests=True)

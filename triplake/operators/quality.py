@@ -201,23 +201,38 @@ def test_relationships(child: DataFrame, model: str, column: str,
     return _result(orphans, model, column, "relationships")
 
 
-def model_tests(gold: dict, cfg: LakeConfig) -> DataFrame:
-    """The 14 table tests over the Gold models (dims first, like a build)."""
-    d, r, f = gold["dim_driver"], gold["dim_rider"], gold["fct_rides"]
-    parts = [
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def dim_tests(gold: dict) -> DataFrame:
+    """Tests of the two dimensions (run before the facts that need them)."""
+    d, r = gold["dim_driver"], gold["dim_rider"]
+    return _union([
         test_unique(d, "dim_driver", "driver_id"),
         test_not_null(d, "dim_driver", ["driver_id"]),
         test_unique(r, "dim_rider", "rider_id"),
         test_not_null(r, "dim_rider", ["rider_id"]),
+    ])
+
+
+def fact_tests(gold: dict, cfg: LakeConfig) -> DataFrame:
+    """Tests of the three facts; each table is scanned once for its column tests."""
+    f = gold["fct_rides"]
+    return _union([
         test_unique(f, "fct_rides", "ride_id"),
         column_tests(f, "fct_rides", ["ride_id", "city", "revenue"], ("city", cfg.valid_cities)),
-        test_relationships(f, "fct_rides", "driver_id", d, "driver_id"),
+        test_relationships(f, "fct_rides", "driver_id", gold["dim_driver"], "driver_id"),
         test_not_null(gold["fct_daily_city_metrics"], "fct_daily_city_metrics",
                       ["metric_date", "total_rides"]),
         test_not_null(gold["fct_hourly_demand"], "fct_hourly_demand",
                       ["demand_date", "hour_of_day"]),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    ])
+
+
+def model_tests(gold: dict, cfg: LakeConfig) -> DataFrame:
+    """The 14 table tests over the Gold models (dims first, like a build)."""
+    return dim_tests(gold).unionByName(fact_tests(gold, cfg))
