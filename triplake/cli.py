@@ -57,12 +57,13 @@ def main(argv=None, spark=None) -> int:
     p.add_argument("--available-now", action="store_true", help="drain and stop instead of running")
     p.add_argument("--preview", action="store_true", help="show the written tables")
     p.add_argument("--strict-tests", action="store_true", help="fail the run on table-test failures")
+    p.add_argument("--profile", choices=["cluster"], help="session sizing profile (see session.CLUSTER_CONF)")
     args = p.parse_args(argv)
 
     from triplake.session import build_session, configure
 
     own_session = spark is None
-    spark = build_session(app_name=f"triplake-{args.job}") if own_session else configure(spark)
+    spark = build_session(app_name=f"triplake-{args.job}", profile=args.profile) if own_session else configure(spark)
     paths, cfg = _paths(args), _cfg(args)
     date = _date(args.date)
 

@@ -21,13 +21,34 @@ JOB_CONF = {
 }
 
 
+# Sizing for a large cluster (hundreds of executors, tens of TB per run).
+# Shuffles start wide and AQE coalesces them to ~128 MB partitions (or
+# splits skewed ones), so no stage has to guess a width; scans read 256 MB
+# splits. A task's input then stays far below executor memory, and spills
+# stay rare, whatever the day's volume.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
 def build_session(app_name: str = "triplake", master: str | None = None,
-                  shuffle_partitions: int | None = None) -> SparkSession:
-    """Create (or reuse) a session configured for the lake jobs."""
+                  shuffle_partitions: int | None = None, profile: str | None = None) -> SparkSession:
+    """Create (or reuse) a session configured for the lake jobs.
+
+    ``profile="cluster"`` adds ``CLUSTER_CONF``; explicit arguments win.
+    """
     builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
+    if profile == "cluster":
+        for k, v in CLUSTER_CONF.items():
+            builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in JOB_CONF.items():
