@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from triplake.schemas import ENVELOPE_SCHEMA
 
 
+class ConnectorMissingError(RuntimeError):
+    """The Kafka data source is not on the classpath."""
+
+
 def kafka_stream(spark: SparkSession, bootstrap: str, topic: str,
                  starting_offsets: str = "earliest",
                  max_offsets_per_trigger: int | None = None,
@@ -29,7 +34,15 @@ def kafka_stream(spark: SparkSession, bootstrap: str, topic: str,
         r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     if min_partitions:
         r = r.option("minPartitions", min_partitions)
-    return r.load()
+    try:
+        return r.load()
+    except AnalysisException as exc:
+        if "kafka" in str(exc).lower():
+            raise ConnectorMissingError(
+                "the Kafka source needs the spark-sql-kafka-0-10 package matching this Spark "
+                "version on the classpath (spark.jars.packages); use file_stream() for files"
+            ) from exc
+        raise
 
 
 def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
