@@ -276,24 +276,35 @@ def _gold(spark, sf):
     return jobs.read_gold(spark, fx.gold_lake(spark, sf))
 
 
-def _tests(spark, sf, test):
-    return Q.model_tests(_gold(spark, sf), LENS_CONFIG).filter(F.col("test") == test)
-
-
 def test_unique(spark, sf):
-    return _tests(spark, sf, "unique")
+    g = _gold(spark, sf)
+    return (Q.test_unique(g["dim_driver"], "dim_driver", "driver_id")
+            .unionByName(Q.test_unique(g["dim_rider"], "dim_rider", "rider_id"))
+            .unionByName(Q.test_unique(g["fct_rides"], "fct_rides", "ride_id")))
 
 
 def test_not_null(spark, sf):
-    return _tests(spark, sf, "not_null")
+    g = _gold(spark, sf)
+    parts = [
+        Q.test_not_null(g["dim_driver"], "dim_driver", ["driver_id"]),
+        Q.test_not_null(g["dim_rider"], "dim_rider", ["rider_id"]),
+        Q.test_not_null(g["fct_rides"], "fct_rides", ["ride_id", "city", "revenue"]),
+        Q.test_not_null(g["fct_daily_city_metrics"], "fct_daily_city_metrics", ["metric_date", "total_rides"]),
+        Q.test_not_null(g["fct_hourly_demand"], "fct_hourly_demand", ["demand_date", "hour_of_day"]),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def test_accepted_values(spark, sf):
-    return _tests(spark, sf, "accepted_values")
+    return Q.test_accepted_values(_gold(spark, sf)["fct_rides"], "fct_rides", "city", LENS_CONFIG.valid_cities)
 
 
 def test_fct_rides_relationships(spark, sf):
-    return _tests(spark, sf, "relationships")
+    g = _gold(spark, sf)
+    return Q.test_relationships(g["fct_rides"], "fct_rides", "driver_id", g["dim_driver"], "driver_id")
 
 
 # -- quality gate -------------------------------------------------------------- #
