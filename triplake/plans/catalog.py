@@ -127,23 +127,17 @@ def _topic_files(spark, sf, root: str) -> tuple[str, DataFrame]:
 
 
 def _par(spark) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - remote session
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    return fx._parallelism(spark)
 
 
 def bronze_stream_land(spark, sf):
-    """Messages as files -> stream (two micro-batches) -> Bronze, read back.
+    """Topic files -> stream (two micro-batches) -> fresh Bronze, read back.
 
-    The topic stand-in gets one file per core per batch, like a topic with
-    that many partitions, so each micro-batch runs all its tasks at once.
+    Each micro-batch takes one file per core, so it runs all its tasks at once.
     """
     root = scratch_path(spark, "stream")
-    topic, env = _topic_files(spark, sf, root)
-    env.repartition(2 * _par(spark)).write.parquet(topic)
     bronze_stream.run_available(
-        bus.file_stream(spark, topic, max_files_per_trigger=_par(spark)),
+        bus.file_stream(spark, fx.topic(spark, sf), max_files_per_trigger=_par(spark)),
         f"{root}/bronze", f"{root}/_checkpoint", LENS_CONFIG)
     return _bronze_rows(src.read_bronze(spark, f"{root}/bronze"))
 

@@ -46,6 +46,27 @@ def bronze_lake(spark: SparkSession, sf_dir: str) -> jobs.LakePaths:
     return _DONE[k]
 
 
+def topic(spark: SparkSession, sf_dir: str) -> str:
+    """The lens messages as parquet files: the stand-in for a topic.
+
+    One file per core per micro-batch (two batches' worth), like a topic
+    with that many partitions.
+    """
+    k = _key(spark, sf_dir, "topic")
+    if k not in _DONE:
+        path = scratch_path(spark, "topic")
+        envelopes(spark, sf_dir).repartition(2 * _parallelism(spark)).write.parquet(path)
+        _DONE[k] = path
+    return _DONE[k]
+
+
+def _parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - remote session
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
 def fresh_lake(spark: SparkSession, sf_dir: str, name: str) -> jobs.LakePaths:
     """A new lake root sharing the landed Bronze and seeds (read-only)."""
     base = bronze_lake(spark, sf_dir)
