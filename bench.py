@@ -50,15 +50,14 @@ def main() -> None:
     from triplake.plans import fixtures as fx
     from triplake.plans.catalog import QUERIES
 
-    from pyspark.sql import SparkSession
-
-    # Default heap unless asked: a big local heap raises Tungsten's default
-    # page size (it scales with execution memory), and every small
-    # aggregation then allocates much larger pages (measured ~2x slower here).
+    # optional extra settings, e.g. BENCH_DRIVER_MEMORY=4g (default heap otherwise)
+    conf = {}
     if os.environ.get("BENCH_DRIVER_MEMORY"):
-        SparkSession.builder.config("spark.driver.memory", os.environ["BENCH_DRIVER_MEMORY"])
+        conf["spark.driver.memory"] = os.environ["BENCH_DRIVER_MEMORY"]
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):  # per-job timings, written to a scratch folder
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
     spark = build_session(
-        app_name="triplake-bench", master=f"local[{CPUS}]", shuffle_partitions=2 * CPUS)
+        app_name="triplake-bench", master=f"local[{CPUS}]", shuffle_partitions=2 * CPUS, conf=conf)
     spark.sparkContext.setLogLevel("ERROR")
 
     # JVM / codegen warm-up on a tiny input (not timed)

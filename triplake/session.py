@@ -37,10 +37,12 @@ CLUSTER_CONF = {
 
 
 def build_session(app_name: str = "triplake", master: str | None = None,
-                  shuffle_partitions: int | None = None, profile: str | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, profile: str | None = None,
+                  conf: dict | None = None) -> SparkSession:
     """Create (or reuse) a session configured for the lake jobs.
 
-    ``profile="cluster"`` adds ``CLUSTER_CONF``; explicit arguments win.
+    ``profile="cluster"`` adds ``CLUSTER_CONF``; explicit arguments and
+    ``conf`` win.
     """
     builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
@@ -51,6 +53,8 @@ def build_session(app_name: str = "triplake", master: str | None = None,
             builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
