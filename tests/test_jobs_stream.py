@@ -197,3 +197,10 @@ def test_kafka_source_reports_missing_connector(spark):
     except bus.ConnectorMissingError:
         return
     assert df.isStreaming  # connector present: the source builds lazily
+
+
+def test_bad_run_date_rejected_before_any_job(spark, raw_frame, tmp_lake):
+    paths = jobs.LakePaths(tmp_lake)
+    _land(raw_frame, paths, _ride(1, 1))
+    with pytest.raises(ValueError):
+        jobs.run_silver(spark, paths, "2024-13-45")

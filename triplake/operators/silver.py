@@ -79,8 +79,16 @@ def peak_hours(bronze: DataFrame) -> DataFrame:
     )
 
 
+def check_date(date: str) -> str:
+    """``YYYY-MM-DD`` or ValueError (checked here: under ANSI a bad literal
+    would only fail inside a running job)."""
+    import datetime as dt
+
+    return dt.date.fromisoformat(str(date)).isoformat()
+
+
 def for_date(bronze: DataFrame, date: str | None) -> DataFrame:
     """Restrict to one date (a partition filter on a landed table); None = all."""
     if date is None:
         return bronze
-    return bronze.filter(F.col("event_date") == F.lit(date).cast("date"))
+    return bronze.filter(F.col("event_date") == F.lit(check_date(date)).cast("date"))

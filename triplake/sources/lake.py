@@ -69,6 +69,9 @@ def read_bronze(spark: SparkSession, path: str, dates: list[str] | None = None)
     """
     if not dates:
         return read_layer(spark, path, "bronze", BRONZE_SCHEMA)
+    import datetime as dt
+
+    dates = [dt.date.fromisoformat(str(d)).isoformat() for d in dates]  # ValueError on a bad date
     reader = spark.read.schema(BRONZE_SCHEMA).option("basePath", path)
     try:
         return reader.parquet(*[f"{path}/event_date={d}" for d in dates])
