@@ -23,7 +23,7 @@ from triplake.operators import verify as V
 from triplake.plans import fixtures as fx
 from triplake.plans import jobs
 from triplake.plans import pipeline as P
-from triplake.session import scratch_path
+from triplake.session import configure, scratch_path
 from triplake.sources import bus
 from triplake.sources import lake as src
 from triplake.sources import lens
@@ -384,8 +384,21 @@ def pipeline_backfill(spark, sf):
     return _pipeline(spark, sf, None, "backfill")
 
 
+def _configured(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Apply the job settings (UTC, dynamic overwrite, AQE) before the query
+    is built, whatever session the caller hands in."""
+    import functools
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return f(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
+    f.__name__: _configured(f)
     for f in (
         bronze_parse, bronze_clean, bronze_city_tag, bronze_duration, bronze_metadata,
         bronze_roundtrip, bronze_event_counts, bronze_slice_by_type,
