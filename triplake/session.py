@@ -32,7 +32,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
