@@ -23,6 +23,7 @@ from triplake.operators import verify as V
 from triplake.plans import fixtures as fx
 from triplake.plans import jobs
 from triplake.plans import pipeline as P
+from triplake.schemas import ENVELOPE_SCHEMA
 from triplake.session import configure, scratch_path
 from triplake.sources import bus
 from triplake.sources import lake as src
@@ -121,13 +122,8 @@ def bronze_slice_by_type(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _topic_files(spark, sf, root: str) -> tuple[str, DataFrame]:
-    env = fx.envelopes(spark, sf)
-    return f"{root}/topic", env
-
-
 def _par(spark) -> int:
-    return fx._parallelism(spark)
+    return fx.parallelism(spark)
 
 
 def bronze_stream_land(spark, sf):
@@ -145,7 +141,8 @@ def bronze_stream_land(spark, sf):
 def bronze_stream_resume(spark, sf):
     """Two bounded runs on one checkpoint with files added in between."""
     root = scratch_path(spark, "resume")
-    topic, env = _topic_files(spark, sf, root)
+    topic = f"{root}/topic"
+    env = spark.read.schema(ENVELOPE_SCHEMA).parquet(fx.topic(spark, sf))
     split = F.col("timestamp") < F.lit(STREAM_SPLIT_AT).cast("timestamp")
     env.filter(split).repartition(_par(spark)).write.mode("append").parquet(topic)
     stream = lambda: bus.file_stream(spark, topic, max_files_per_trigger=_par(spark))

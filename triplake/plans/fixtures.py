@@ -55,12 +55,12 @@ def topic(spark: SparkSession, sf_dir: str) -> str:
     k = _key(spark, sf_dir, "topic")
     if k not in _DONE:
         path = scratch_path(spark, "topic")
-        envelopes(spark, sf_dir).repartition(2 * _parallelism(spark)).write.parquet(path)
+        envelopes(spark, sf_dir).repartition(2 * parallelism(spark)).write.parquet(path)
         _DONE[k] = path
     return _DONE[k]
 
 
-def _parallelism(spark: SparkSession) -> int:
+def parallelism(spark: SparkSession) -> int:
     try:
         return spark.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - remote session
@@ -70,8 +70,7 @@ def _parallelism(spark: SparkSession) -> int:
 def fresh_lake(spark: SparkSession, sf_dir: str, name: str) -> jobs.LakePaths:
     """A new lake root sharing the landed Bronze and seeds (read-only)."""
     base = bronze_lake(spark, sf_dir)
-    p = jobs.LakePaths(scratch_path(spark, name), bronze_root=base.bronze)
-    return p
+    return jobs.LakePaths(scratch_path(spark, name), bronze_root=base.bronze)
 
 
 def silver_lake(spark: SparkSession, sf_dir: str) -> jobs.LakePaths:
