@@ -64,9 +64,10 @@ def main() -> None:
         app_name="triplake-bench", master=f"local[{CPUS}]", shuffle_partitions=2 * CPUS, conf=conf)
     spark.sparkContext.setLogLevel("ERROR")
 
-    # JVM / codegen warm-up on a tiny input (not timed)
-    QUERIES["silver_daily_city_metrics"](spark, "/root/testdata/sf0.001").write.format("noop").mode(
-        "overwrite").save()
+    # JVM / codegen warm-up on the smallest input available (not timed)
+    warm = os.path.join(os.path.dirname(SF_DIR.rstrip("/")), "sf0.001")
+    if os.path.exists(os.path.join(warm, "events.parquet")):
+        QUERIES["silver_daily_city_metrics"](spark, warm).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
 
