@@ -204,3 +204,22 @@ def test_bad_run_date_rejected_before_any_job(spark, raw_frame, tmp_lake):
     _land(raw_frame, paths, _ride(1, 1))
     with pytest.raises(ValueError):
         jobs.run_silver(spark, paths, "2024-13-45")
+
+
+def test_cli_jobs_end_to_end(spark, raw_frame, tmp_lake, capsys):
+    from triplake import cli
+    paths = jobs.LakePaths(tmp_lake, silver_root=f"{tmp_lake}/elsewhere/silver")
+    _land(raw_frame, paths, _ride(1, 1) + _ride(2, 2))
+    _seeds(spark, paths)
+    base = ["--lake-root", tmp_lake, "--silver", f"{tmp_lake}/elsewhere/silver"]
+    assert cli.main(["silver", "--date", "2024-01-02", "--preview", *base], spark=spark) == 0
+    assert jobs.read_silver_daily(spark, paths).count() == 1
+    assert cli.main(["gate", *base], spark=spark) == 0
+    assert cli.main(["load-raw", *base], spark=spark) == 0
+    assert cli.main(["gold", *base], spark=spark) == 0
+    assert cli.main(["verify", *base], spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "GATE PASSED" in out and "fct_rides" in out
+    assert spark.table("gold.fct_rides").count() == 2
+    assert cli.main(["silver", "--date", "2024-01-09", *base], spark=spark) == 0
+    assert "Nothing written" in capsys.readouterr().out

@@ -27,7 +27,8 @@ def _paths(args):
     from triplake.plans.jobs import LakePaths
 
     root = args.lake_root or os.getenv("LAKE_ROOT", "/opt/datalake")
-    return LakePaths(root, bronze_root=args.bronze or os.getenv("BRONZE_PATH"))
+    return LakePaths(root, bronze_root=args.bronze or os.getenv("BRONZE_PATH"),
+                     silver_root=args.silver or os.getenv("SILVER_PATH"))
 
 
 def _cfg(args) -> LakeConfig:
@@ -47,6 +48,7 @@ def main(argv=None, spark=None) -> int:
     p.add_argument("job", choices=["stream", "silver", "gate", "load-raw", "gold", "daily", "verify"])
     p.add_argument("--lake-root")
     p.add_argument("--bronze", help="Bronze folder (default: BRONZE_PATH or <lake-root>/bronze)")
+    p.add_argument("--silver", help="Silver folder (default: SILVER_PATH or <lake-root>/silver)")
     p.add_argument("--date", default=os.getenv("PROCESS_DATE"), help="YYYY-MM-DD; unset = all dates")
     p.add_argument("--default-city")
     p.add_argument("--valid-cities", help="comma-separated")

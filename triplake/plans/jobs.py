@@ -26,12 +26,16 @@ class LakePaths:
 
     root: str
     bronze_root: str | None = None  # share an already landed Bronze
+    silver_root: str | None = None  # Silver elsewhere (holds daily_city_metrics/, hourly_demand/)
 
     def __getattr__(self, name: str) -> str:  # bronze, silver_daily, raw_rides, ...
         if name.startswith("_"):
             raise AttributeError(name)
         if name == "bronze" and self.bronze_root:
             return self.bronze_root
+        if name in ("silver_daily", "silver_hourly") and self.silver_root:
+            sub = "daily_city_metrics" if name == "silver_daily" else "hourly_demand"
+            return f"{self.silver_root.rstrip('/')}/{sub}"
         layout = {
             "bronze": "bronze",
             "silver_daily": "silver/daily_city_metrics",
