@@ -35,18 +35,30 @@ def test_lens_counts_match_fixtures(spark):
                       "ride_ended": 829, "ride_cancelled": 83, "payment_completed": 768}
 
 
-def test_sample_queries_match_oracle(spark):
-    """A few registered queries against their DuckDB oracle on sf0.001."""
+@pytest.fixture(scope="module")
+def duck():
     import duckdb
-    import __spark_entry__ as E
 
     con = duckdb.connect()
     for t in ("events", "region", "nation", "supplier", "customer"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
-    for name in ("silver_daily_city_metrics", "silver_hourly_demand", "fct_rides", "dq_report", "bi_kpis"):
-        df = E.queries()[name](spark, SF)
-        got = sorted(tuple(map(repr, (r[c] for c in sorted(df.columns)))) for r in df.collect())
-        rel = con.sql(E.oracle_sql()[name])
-        cols = rel.columns
-        exp = sorted(tuple(repr(row[cols.index(c)]) for c in sorted(cols)) for row in rel.fetchall())
-        assert got == exp, name
+    return con
+
+
+def _names():
+    import __spark_entry__ as E
+    return sorted(E.queries())
+
+
+@pytest.mark.parametrize("name", _names())
+def test_query_matches_oracle(spark, duck, name):
+    """Every registered query equals its DuckDB oracle on sf0.001 (values, names)."""
+    import __spark_entry__ as E
+
+    df = E.queries()[name](spark, SF)
+    got = sorted(tuple(map(repr, (r[c] for c in sorted(df.columns)))) for r in df.collect())
+    rel = duck.sql(E.oracle_sql()[name])
+    cols = rel.columns
+    exp = sorted(tuple(repr(row[cols.index(c)]) for c in sorted(cols)) for row in rel.fetchall())
+    assert sorted(df.columns) == sorted(cols)
+    assert got == exp
