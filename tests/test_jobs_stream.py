@@ -223,3 +223,20 @@ def test_cli_jobs_end_to_end(spark, raw_frame, tmp_lake, capsys):
     assert spark.table("gold.fct_rides").count() == 2
     assert cli.main(["silver", "--date", "2024-01-09", *base], spark=spark) == 0
     assert "Nothing written" in capsys.readouterr().out
+
+
+def test_cli_exit_codes_follow_the_run(spark, raw_frame, tmp_lake):
+    from triplake import cli
+    paths = jobs.LakePaths(tmp_lake)
+    _land(raw_frame, paths, _ride(1, 1))
+    row = ("driver_1", "A", 4.5, "Z", "go", "2023-01-01")
+    write_seed(spark.createDataFrame([row, row],
+                                     "driver_id string, driver_name string, rating double, home_zone string, "
+                                     "primary_vehicle string, joined_date string"), paths.seed_drivers)
+    write_seed(spark.createDataFrame([("rider_1", "B", "vip", "2023-02-01")],
+                                     "rider_id string, rider_name string, segment string, signup_date string"),
+               paths.seed_riders)
+    assert cli.main(["daily", "--lake-root", tmp_lake], spark=spark) == 1  # dim test failed, facts skipped
+    assert cli.main(["daily", "--lake-root", tmp_lake, "--strict-tests"], spark=spark) == 1
+    assert cli.main(["gold", "--lake-root", tmp_lake], spark=spark) == 0
+    assert cli.main(["gold", "--lake-root", tmp_lake, "--strict-tests"], spark=spark) == 1

@@ -125,13 +125,24 @@ def main(argv=None, spark=None) -> int:
             jobs.build_gold(spark, paths)
             ns.ensure_namespaces(spark, paths)
             ns.register_gold(spark, paths)
-            Q.model_tests(jobs.read_gold(spark, paths), cfg).show(truncate=False)
+            results = Q.model_tests(jobs.read_gold(spark, paths), cfg).collect()  # 14 rows
+            for r in results:
+                print(f"{r['model']:<24} {r['column_name']:<14} {r['test']:<16} {r['failures']:>8} {r['status']}")
+            if args.strict_tests and any(r["status"] != "pass" for r in results):
+                return 1
         elif args.job == "daily":
+            from triplake.operators import quality as Q
             from triplake.plans import pipeline as P
 
-            rep = P.run_daily(spark, paths, date, cfg, strict_tests=args.strict_tests)
+            try:
+                rep = P.run_daily(spark, paths, date, cfg, strict_tests=args.strict_tests)
+            except (P.TableTestError, Q.DataQualityError) as exc:
+                print(f"[ERROR] {exc}")
+                return 1
             for step, status, detail in rep.steps:
                 print(f"{step:<14} {status:<8} {detail}")
+            if not rep.ok:
+                return 1
         elif args.job == "verify":
             from triplake.operators import verify as V
 

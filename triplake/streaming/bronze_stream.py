@@ -6,8 +6,12 @@ summary is collected with ``observe`` during the write itself (one pass,
 nothing cached); ``cache_batches=True`` instead persists the batch, counts
 and summarises it from the cache, writes, and releases it. The checkpoint holds offsets only
 (no state), so a restart resumes after the last committed batch. The sink
-is at-least-once: a batch replayed after a driver failure between write
-and commit appends its rows again (Silver's distinct counts absorb that).
+is at-least-once, like the source's: a batch replayed after a driver
+failure between write and commit appends its rows again. Silver's distinct
+counts absorb such copies; revenue sums and the RAW join (and the ``unique``
+test on ``fct_rides``, which reports it) do not. Spark's own file sink would
+be exactly-once, but streaming plans run without AQE, so its writes could
+not be rebalanced (a hot date/type would land in one task).
 """
 
 from __future__ import annotations
