@@ -240,3 +240,17 @@ def test_cli_exit_codes_follow_the_run(spark, raw_frame, tmp_lake):
     assert cli.main(["daily", "--lake-root", tmp_lake, "--strict-tests"], spark=spark) == 1
     assert cli.main(["gold", "--lake-root", tmp_lake], spark=spark) == 0
     assert cli.main(["gold", "--lake-root", tmp_lake, "--strict-tests"], spark=spark) == 1
+
+
+def test_processing_time_trigger_runs_until_stopped(spark, tmp_lake):
+    topic, bronze, ckpt = f"{tmp_lake}/topic", f"{tmp_lake}/bronze", f"{tmp_lake}/ckpt"
+    spark.createDataFrame(envelope_rows(_ride(1, 1)), ENVELOPE_SCHEMA).write.parquet(topic)
+    q = bronze_stream.start(bus.file_stream(spark, topic), bronze, ckpt, LakeConfig(), interval="1 second")
+    try:
+        q.processAllAvailable()
+        assert q.isActive  # a processing-time stream keeps running
+        spark.createDataFrame(envelope_rows(_ride(2, 1)), ENVELOPE_SCHEMA).write.mode("append").parquet(topic)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert src.read_bronze(spark, bronze).count() == 6
