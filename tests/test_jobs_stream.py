@@ -254,3 +254,18 @@ def test_processing_time_trigger_runs_until_stopped(spark, tmp_lake):
     finally:
         q.stop()
     assert src.read_bronze(spark, bronze).count() == 6
+
+
+def test_gold_facts_are_date_partitioned_and_prune(spark, raw_frame, tmp_lake):
+    from pyspark.sql import functions as F
+    from tests.conftest import plan_text
+    from triplake.plans import pipeline as P
+    paths = jobs.LakePaths(tmp_lake)
+    _land(raw_frame, paths, _ride(1, 1) + _ride(2, 2))
+    _seeds(spark, paths)
+    P.run_daily(spark, paths, None)
+    fct = jobs.read_gold(spark, paths)["fct_rides"]
+    one_day = fct.filter(F.col("ride_date") == F.lit("2024-01-02").cast("date"))
+    assert "PartitionFilters: [isnotnull(ride_date" in plan_text(one_day)
+    assert [r["ride_id"] for r in one_day.collect()] == ["r2_2"]
+    assert spark.table("gold.fct_rides").filter("ride_date = DATE'2024-01-01'").count() == 1

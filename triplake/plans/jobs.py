@@ -54,6 +54,9 @@ class LakePaths:
 
 
 GOLD_MODELS = ("dim_driver", "dim_rider", "fct_rides", "fct_daily_city_metrics", "fct_hourly_demand")
+# facts grow with time: partition them by their date; dims stay whole
+GOLD_PARTITIONS = {"fct_rides": ("ride_date",), "fct_daily_city_metrics": ("metric_date",),
+                   "fct_hourly_demand": ("demand_date",)}
 
 
 # -- Bronze ------------------------------------------------------------------ #
@@ -92,7 +95,7 @@ def read_silver_hourly(spark: SparkSession, paths: LakePaths) -> DataFrame:
 def load_raw(spark: SparkSession, paths: LakePaths) -> None:
     """Truncate-and-reload the three RAW tables from the lake."""
     bronze = src.read_bronze(spark, paths.bronze)
-    sink.reload_table(R.upper_columns(R.build_rides(bronze)), paths.raw_rides)
+    sink.reload_table(R.upper_columns(R.build_rides(bronze)), paths.raw_rides, ("EVENT_DATE",))
     sink.reload_table(R.upper_columns(read_silver_daily(spark, paths)), paths.raw_daily)
     sink.reload_table(R.upper_columns(read_silver_hourly(spark, paths)), paths.raw_hourly)
 
@@ -128,7 +131,7 @@ def build_gold(spark: SparkSession, paths: LakePaths, models=GOLD_MODELS) -> Non
     """Materialise Gold models as tables, rebuilt on every run."""
     plans = gold_models(spark, paths)
     for name in models:
-        sink.reload_table(plans[name], getattr(paths, f"gold_{name}"))
+        sink.reload_table(plans[name], getattr(paths, f"gold_{name}"), GOLD_PARTITIONS.get(name, ()))
 
 
 def read_gold(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:

@@ -28,6 +28,9 @@ def _register(spark: SparkSession, name: str, path: str) -> None:
     # dropping an external table only forgets it; the files stay
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=path, source="parquet")
+    # a date-partitioned table: register the partition folders found on disk
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
 
 
 def register_raw(spark: SparkSession, paths: jobs.LakePaths) -> None:

@@ -39,9 +39,19 @@ def replace_date_partitions(df: DataFrame, path: str) -> None:
     )
 
 
-def reload_table(df: DataFrame, path: str) -> None:
-    """Truncate and reload: the whole table is replaced (idempotent)."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+def reload_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+    """Truncate and reload: the whole table is replaced (idempotent).
+
+    Facts are partitioned by their date so date-bounded reads prune; the
+    ``rebalance`` lets AQE size the write tasks (a hot date is split, small
+    ones merged) so files stay few and large.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
 
 
 def write_seed(df: DataFrame, path: str) -> None:
