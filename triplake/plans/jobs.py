@@ -95,7 +95,9 @@ def read_silver_hourly(spark: SparkSession, paths: LakePaths) -> DataFrame:
 def load_raw(spark: SparkSession, paths: LakePaths) -> None:
     """Truncate-and-reload the three RAW tables from the lake."""
     bronze = src.read_bronze(spark, paths.bronze)
-    sink.reload_table(R.upper_columns(R.build_rides(bronze)), paths.raw_rides, ("EVENT_DATE",))
+    # RAW is internal staging: written straight from the join (no date shuffle);
+    # only the Gold facts that consumers filter by date are date-partitioned
+    sink.reload_table(R.upper_columns(R.build_rides(bronze)), paths.raw_rides)
     sink.reload_table(R.upper_columns(read_silver_daily(spark, paths)), paths.raw_daily)
     sink.reload_table(R.upper_columns(read_silver_hourly(spark, paths)), paths.raw_hourly)
 
