@@ -269,3 +269,15 @@ def test_gold_facts_are_date_partitioned_and_prune(spark, raw_frame, tmp_lake):
     assert "PartitionFilters: [isnotnull(ride_date" in plan_text(one_day)
     assert [r["ride_id"] for r in one_day.collect()] == ["r2_2"]
     assert spark.table("gold.fct_rides").filter("ride_date = DATE'2024-01-01'").count() == 1
+
+
+def test_empty_partitioned_reload_stays_readable(spark, tmp_lake):
+    from triplake.sinks.lake import reload_table
+    empty = spark.createDataFrame([], "ride_id string, ride_date date")
+    reload_table(empty, f"{tmp_lake}/fct", ("ride_date",))
+    df = src.read_layer(spark, f"{tmp_lake}/fct", "gold")
+    assert df.count() == 0 and set(df.columns) == {"ride_id", "ride_date"}
+    full = spark.createDataFrame([("r1", None)], "ride_id string, ride_date date").selectExpr(
+        "ride_id", "DATE'2024-01-01' AS ride_date")
+    reload_table(full, f"{tmp_lake}/fct", ("ride_date",))
+    assert src.read_layer(spark, f"{tmp_lake}/fct", "gold").count() == 1

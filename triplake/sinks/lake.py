@@ -46,6 +46,10 @@ def reload_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -
     ``rebalance`` lets AQE size the write tasks (a hot date is split, small
     ones merged) so files stay few and large.
     """
+    if partition_by and df.isEmpty():
+        # a partitioned write of no rows leaves no file to carry the schema;
+        # write the empty table unpartitioned so it stays readable
+        partition_by = ()
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
