@@ -281,3 +281,12 @@ def test_empty_partitioned_reload_stays_readable(spark, tmp_lake):
         "ride_id", "DATE'2024-01-01' AS ride_date")
     reload_table(full, f"{tmp_lake}/fct", ("ride_date",))
     assert src.read_layer(spark, f"{tmp_lake}/fct", "gold").count() == 1
+
+
+def test_cli_stream_available_now_from_files(spark, tmp_lake):
+    from triplake import cli
+    topic = f"{tmp_lake}/topic"
+    spark.createDataFrame(envelope_rows(_ride(1, 1) + _ride(2, 1)), ENVELOPE_SCHEMA).repartition(2).write.parquet(topic)
+    assert cli.main(["stream", "--lake-root", tmp_lake, "--files", topic, "--available-now",
+                     "--max-files-per-trigger", "1"], spark=spark) == 0
+    assert src.read_bronze(spark, jobs.LakePaths(tmp_lake).bronze).count() == 6

@@ -57,6 +57,10 @@ def main(argv=None, spark=None) -> int:
     p.add_argument("--checkpoint", default=os.getenv("CHECKPOINT_PATH"))
     p.add_argument("--files", help="read bus messages from parquet files here instead of Kafka")
     p.add_argument("--available-now", action="store_true", help="drain and stop instead of running")
+    p.add_argument("--interval", help="processing-time trigger, e.g. '10 seconds' (the default)")
+    p.add_argument("--max-offsets-per-trigger", type=int,
+                   help="bound a Kafka micro-batch (drains a backlog in bounded steps)")
+    p.add_argument("--max-files-per-trigger", type=int, help="bound a file-stream micro-batch")
     p.add_argument("--preview", action="store_true", help="show the written tables")
     p.add_argument("--strict-tests", action="store_true", help="fail the run on table-test failures")
     p.add_argument("--profile", choices=["cluster"], help="session sizing profile (see session.CLUSTER_CONF)")
@@ -73,10 +77,12 @@ def main(argv=None, spark=None) -> int:
         from triplake.sources import bus
         from triplake.streaming import bronze_stream
 
-        src = (bus.file_stream(spark, args.files) if args.files
-               else bus.kafka_stream(spark, args.bootstrap, args.topic))
+        src = (bus.file_stream(spark, args.files, args.max_files_per_trigger) if args.files
+               else bus.kafka_stream(spark, args.bootstrap, args.topic,
+                                     max_offsets_per_trigger=args.max_offsets_per_trigger))
         ckpt = args.checkpoint or f"{paths.root}/_checkpoints/bronze"
-        q = bronze_stream.start(src, paths.bronze, ckpt, cfg, available_now=args.available_now)
+        q = bronze_stream.start(src, paths.bronze, ckpt, cfg, available_now=args.available_now,
+                                interval=args.interval)
         print(f"[INFO] streaming -> {paths.bronze} (checkpoint {ckpt})")
         q.awaitTermination()  # runs until stopped
         return 0
