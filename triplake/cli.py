@@ -121,16 +121,16 @@ def main(argv=None, spark=None) -> int:
         elif args.job == "load-raw":
             from triplake.plans import namespaces as ns
 
-            jobs.load_raw(spark, paths)
+            schemas = jobs.load_raw(spark, paths)
             ns.ensure_namespaces(spark, paths)
-            ns.register_raw(spark, paths)
+            ns.register_raw(spark, paths, schemas)
         elif args.job == "gold":
             from triplake.operators import quality as Q
             from triplake.plans import namespaces as ns
 
-            jobs.build_gold(spark, paths)
+            schemas = jobs.build_gold(spark, paths)
             ns.ensure_namespaces(spark, paths)
-            ns.register_gold(spark, paths)
+            ns.register_gold(spark, paths, schemas)
             results = Q.model_tests(jobs.read_gold(spark, paths), cfg).collect()  # 14 rows
             for r in results:
                 print(f"{r['model']:<24} {r['column_name']:<14} {r['test']:<16} {r['failures']:>8} {r['status']}")

@@ -92,14 +92,22 @@ def read_silver_hourly(spark: SparkSession, paths: LakePaths) -> DataFrame:
 
 
 # -- RAW ------------------------------------------------------------------- #
-def load_raw(spark: SparkSession, paths: LakePaths) -> None:
-    """Truncate-and-reload the three RAW tables from the lake."""
+def load_raw(spark: SparkSession, paths: LakePaths) -> dict:
+    """Truncate-and-reload the three RAW tables from the lake.
+
+    Returns the written schemas by table name (for catalog registration).
+    """
     bronze = src.read_bronze(spark, paths.bronze)
     # RAW is internal staging: written straight from the join (no date shuffle);
     # only the Gold facts that consumers filter by date are date-partitioned
-    sink.reload_table(R.upper_columns(R.build_rides(bronze)), paths.raw_rides)
-    sink.reload_table(R.upper_columns(read_silver_daily(spark, paths)), paths.raw_daily)
-    sink.reload_table(R.upper_columns(read_silver_hourly(spark, paths)), paths.raw_hourly)
+    tables = {
+        "rides": (R.upper_columns(R.build_rides(bronze)), paths.raw_rides),
+        "silver_daily_city_metrics": (R.upper_columns(read_silver_daily(spark, paths)), paths.raw_daily),
+        "silver_hourly_demand": (R.upper_columns(read_silver_hourly(spark, paths)), paths.raw_hourly),
+    }
+    for df, path in tables.values():
+        sink.reload_table(df, path)
+    return {name: df.schema for name, (df, _) in tables.items()}
 
 
 def read_raw(spark: SparkSession, paths: LakePaths, table: str) -> DataFrame:
@@ -129,11 +137,15 @@ def gold_models(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
     }
 
 
-def build_gold(spark: SparkSession, paths: LakePaths, models=GOLD_MODELS) -> None:
-    """Materialise Gold models as tables, rebuilt on every run."""
+def build_gold(spark: SparkSession, paths: LakePaths, models=GOLD_MODELS) -> dict:
+    """Materialise Gold models as tables, rebuilt on every run.
+
+    Returns the written schemas by model name (for catalog registration).
+    """
     plans = gold_models(spark, paths)
     for name in models:
         sink.reload_table(plans[name], getattr(paths, f"gold_{name}"), GOLD_PARTITIONS.get(name, ()))
+    return {name: plans[name].schema for name in models}
 
 
 def read_gold(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:

@@ -24,23 +24,31 @@ def ensure_namespaces(spark: SparkSession, paths: jobs.LakePaths,
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {n} LOCATION '{paths.root}/_catalog/{n}.db'")
 
 
-def _register(spark: SparkSession, name: str, path: str) -> None:
+def _register(spark: SparkSession, name: str, path: str, schema=None) -> None:
+    """External parquet table over ``path``.
+
+    With the schema the writer just used, nothing is inferred and date
+    folders are discovered (and pruned) by the file index at read time;
+    without it the schema is inferred and partition folders registered.
+    """
     # dropping an external table only forgets it; the files stay
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if schema is not None:
+        spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
+        return
     spark.catalog.createTable(name, path=path, source="parquet")
-    # a date-partitioned table: register the partition folders found on disk
     if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
 
 
-def register_raw(spark: SparkSession, paths: jobs.LakePaths) -> None:
+def register_raw(spark: SparkSession, paths: jobs.LakePaths, schemas: dict | None = None) -> None:
     for table, attr in RAW_TABLES.items():
-        _register(spark, f"raw.{table}", getattr(paths, attr))
+        _register(spark, f"raw.{table}", getattr(paths, attr), (schemas or {}).get(table))
 
 
-def register_gold(spark: SparkSession, paths: jobs.LakePaths) -> None:
+def register_gold(spark: SparkSession, paths: jobs.LakePaths, schemas: dict | None = None) -> None:
     for m in jobs.GOLD_MODELS:
-        _register(spark, f"gold.{m}", getattr(paths, f"gold_{m}"))
+        _register(spark, f"gold.{m}", getattr(paths, f"gold_{m}"), (schemas or {}).get(m))
 
 
 def register_staging_views(spark: SparkSession) -> dict[str, DataFrame]:

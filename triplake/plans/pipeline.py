@@ -60,13 +60,13 @@ def run_daily(spark: SparkSession, paths: jobs.LakePaths, date: str | None,
         raise
     rep.add("dq_gate", "ok")
 
-    jobs.load_raw(spark, paths)
-    ns.register_raw(spark, paths)
+    raw_schemas = jobs.load_raw(spark, paths)
+    ns.register_raw(spark, paths, raw_schemas)
     ns.register_staging_views(spark)
     rep.add("load_raw", "ok")
 
     # Gold in dependency order; a failed dim test skips the fact that needs it
-    jobs.build_gold(spark, paths, models=("dim_driver", "dim_rider"))
+    gold_schemas = jobs.build_gold(spark, paths, models=("dim_driver", "dim_rider"))
     gold = jobs.read_gold_partial(spark, paths, ("dim_driver", "dim_rider"))
     dim_results = Q.dim_tests(gold).collect()  # 4 rows
     dims_ok = all(r["status"] == "pass" for r in dim_results)
@@ -76,8 +76,9 @@ def run_daily(spark: SparkSession, paths: jobs.LakePaths, date: str | None,
         if strict_tests:
             raise TableTestError("dimension tests failed")
         return rep
-    jobs.build_gold(spark, paths, models=("fct_rides", "fct_daily_city_metrics", "fct_hourly_demand"))
-    ns.register_gold(spark, paths)
+    gold_schemas.update(jobs.build_gold(
+        spark, paths, models=("fct_rides", "fct_daily_city_metrics", "fct_hourly_demand")))
+    ns.register_gold(spark, paths, gold_schemas)
     rep.add("gold_facts", "ok")
 
     tests = dim_results + Q.fact_tests(jobs.read_gold(spark, paths), cfg).collect()  # 14 rows
