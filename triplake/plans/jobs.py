@@ -54,9 +54,10 @@ class LakePaths:
 
 
 GOLD_MODELS = ("dim_driver", "dim_rider", "fct_rides", "fct_daily_city_metrics", "fct_hourly_demand")
-# facts grow with time: partition them by their date; dims stay whole
-GOLD_PARTITIONS = {"fct_rides": ("ride_date",), "fct_daily_city_metrics": ("metric_date",),
-                   "fct_hourly_demand": ("demand_date",)}
+# the ride fact grows with volume: partition it by date so date-bounded reads
+# prune. The daily/hourly facts stay whole: cities x days (x 24) rows at any
+# scale, where one folder per day would only mean many tiny files.
+GOLD_PARTITIONS = {"fct_rides": ("ride_date",)}
 
 
 # -- Bronze ------------------------------------------------------------------ #
