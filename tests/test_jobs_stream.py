@@ -290,3 +290,18 @@ def test_cli_stream_available_now_from_files(spark, tmp_lake):
     assert cli.main(["stream", "--lake-root", tmp_lake, "--files", topic, "--available-now",
                      "--max-files-per-trigger", "1"], spark=spark) == 0
     assert src.read_bronze(spark, jobs.LakePaths(tmp_lake).bronze).count() == 6
+
+
+def test_register_existing_lake_by_name(spark, raw_frame, tmp_lake):
+    from triplake.plans import namespaces as ns
+    from triplake.plans import pipeline as P
+    paths = jobs.LakePaths(tmp_lake)
+    _land(raw_frame, paths, _ride(1, 1) + _ride(2, 2))
+    _seeds(spark, paths)
+    P.run_daily(spark, paths, None)
+    for t in ("gold.fct_rides", "raw.rides"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    ns.register_all(spark, paths)  # infers schemas, recovers the date partitions
+    assert spark.table("gold.fct_rides").count() == 2
+    assert spark.table("gold.fct_rides").filter("ride_date = DATE'2024-01-02'").count() == 1
+    assert spark.sql("SELECT COUNT(*) AS n FROM stg_rides").first()["n"] == 2

@@ -9,7 +9,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from triplake.config import LakeConfig
 from triplake.operators import bronze as B
@@ -167,6 +166,3 @@ def lake_tables(spark: SparkSession, paths: LakePaths) -> dict[tuple[str, str],
         out[("gold", m)] = df
     return out
 
-
-def count_rows(df: DataFrame) -> int:
-    return df.agg(F.count(F.lit(1))).first()[0]
