@@ -79,3 +79,33 @@ def test_rebalanced_write_splits_a_hot_partition(spark, tmp_lake):
     files = [f for f in os.listdir(part) if f.endswith(".parquet")]
     assert len(files) > 1
     assert spark.read.parquet(tmp_lake).count() == 20000
+
+
+def test_ride_join_shuffles_ended_once_and_splits_either_side(spark, raw_frame, tmp_lake):
+    from triplake.operators import raw as R
+    from triplake.sinks.lake import append_bronze
+    from triplake.sources.lake import read_bronze
+
+    events = []
+    for i in range(40):
+        events += [ev(f"r{i}", "ride_ended", duration_min=1.0, fare_amount=2.0)]
+        if i % 3:
+            events += [ev(f"r{i}", "payment_completed", amount=2.0)]
+    append_bronze(B.transform(raw_frame(events)), tmp_lake)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    prev = [spark.conf.get(k, None) for k in keys]
+    for k in keys:
+        spark.conf.set(k, "-1")  # as at scale: no side is small enough to broadcast
+    try:
+        df = R.build_rides(read_bronze(spark, tmp_lake))
+        rows = df.collect()
+        plan = plan_text(df)
+    finally:
+        for k, v in zip(keys, prev):
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert len(rows) == 40 and sum(r["paid_amount"] is None for r in rows) == 14
+    final = plan.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and "SortMergeJoin" in final and "LeftAnti" in final
