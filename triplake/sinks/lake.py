@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from triplake.config import LakeConfig
 from triplake.schemas import BRONZE_PARTITIONS, SILVER_PARTITIONS
@@ -45,27 +44,19 @@ def reload_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -
 
     Facts are partitioned by their date so date-bounded reads prune; the
     ``rebalance`` lets AQE size the write tasks (a hot date is split, small
-    ones merged) so files stay few and large. The row count is observed
-    during the write: a partitioned write of no rows leaves no file that
-    carries the schema, so that (rare) case is rewritten unpartitioned.
+    ones merged) so files stay few and large. A partitioned write of no rows
+    would leave no file carrying the schema, so an empty table (checked with
+    a first-row probe) is written unpartitioned instead.
     """
-    if not partition_by:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-        return
-    obs = Observation("reload_rows")
-    (
-        df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        .hint("rebalance", *partition_by)
-        .write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-    try:
-        rows = obs.get.get("rows")
-    except Exception:  # noqa: BLE001 - a write that ran no task reports no metrics
-        rows = None
-    if rows == 0 or (rows is None and df.isEmpty()):
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    w = df
+    if partition_by and not df.isEmpty():
+        w = df.hint("rebalance", *partition_by)
+    else:
+        partition_by = ()
+    writer = w.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
 
 
 def write_seed(df: DataFrame, path: str) -> None:
