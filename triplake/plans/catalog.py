@@ -263,6 +263,11 @@ def fct_hourly_demand(spark, sf):
     return _models(spark, sf)["fct_hourly_demand"]
 
 
+def _model(spark, sf, m):
+    """One Gold table (only its folder is listed)."""
+    return jobs.read_gold_partial(spark, fx.gold_lake(spark, sf), (m,))[m]
+
+
 def _gold(spark, sf):
     return jobs.read_gold(spark, fx.gold_lake(spark, sf))
 
@@ -290,7 +295,7 @@ def test_not_null(spark, sf):
 
 
 def test_accepted_values(spark, sf):
-    return Q.test_accepted_values(_gold(spark, sf)["fct_rides"], "fct_rides", "city", LENS_CONFIG.valid_cities)
+    return Q.test_accepted_values(_model(spark, sf, "fct_rides"), "fct_rides", "city", LENS_CONFIG.valid_cities)
 
 
 def test_fct_rides_relationships(spark, sf):
@@ -332,31 +337,31 @@ def verify_row_counts(spark, sf):
 
 
 def verify_orphans(spark, sf):
-    return V.orphans(_gold(spark, sf)["fct_rides"])
+    return V.orphans(_model(spark, sf, "fct_rides"))
 
 
 def verify_preview(spark, sf):
-    return V.preview(_gold(spark, sf)["fct_rides"])
+    return V.preview(_model(spark, sf, "fct_rides"))
 
 
 def bi_kpis(spark, sf):
-    return BI.kpis(_gold(spark, sf)["fct_rides"])
+    return BI.kpis(_model(spark, sf, "fct_rides"))
 
 
 def bi_revenue_by_vehicle(spark, sf):
-    return BI.revenue_by_vehicle(_gold(spark, sf)["fct_rides"])
+    return BI.revenue_by_vehicle(_model(spark, sf, "fct_rides"))
 
 
 def bi_revenue_by_segment(spark, sf):
-    return BI.revenue_by_segment(_gold(spark, sf)["fct_rides"])
+    return BI.revenue_by_segment(_model(spark, sf, "fct_rides"))
 
 
 def bi_demand_by_hour(spark, sf):
-    return BI.demand_by_hour(_gold(spark, sf)["fct_hourly_demand"])
+    return BI.demand_by_hour(_model(spark, sf, "fct_hourly_demand"))
 
 
 def bi_driver_performance(spark, sf):
-    return BI.driver_performance(_gold(spark, sf)["fct_rides"])
+    return BI.driver_performance(_model(spark, sf, "fct_rides"))
 
 
 # -- pipeline ------------------------------------------------------------------ #
