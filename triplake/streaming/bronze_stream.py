@@ -17,6 +17,7 @@ not be rebalanced (a hot date/type would land in one task).
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -38,7 +39,9 @@ def batch_writer(bronze_path: str, cfg: LakeConfig = LakeConfig(), summaries: li
         # the write's own pass
         if batch_df.isEmpty():
             return
-        obs = Observation(f"bronze_batch_{batch_id}")
+        # unique name: an observation is filled from whichever query reports
+        # a metric of its name, and concurrent streams share batch ids
+        obs = Observation(f"bronze_batch_{batch_id}_{uuid.uuid4().hex[:8]}")
         observed = batch_df.observe(obs, *[
             F.count_if(F.col("event_type") == t).alias(t) for t in cfg.event_types])
         sink.append_bronze(observed, bronze_path, cfg)
