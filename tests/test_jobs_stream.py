@@ -305,3 +305,16 @@ def test_register_existing_lake_by_name(spark, raw_frame, tmp_lake):
     assert spark.table("gold.fct_rides").count() == 2
     assert spark.table("gold.fct_rides").filter("ride_date = DATE'2024-01-02'").count() == 1
     assert spark.sql("SELECT COUNT(*) AS n FROM stg_rides").first()["n"] == 2
+
+
+def test_late_event_changes_silver_only_when_its_date_reruns(spark, raw_frame, tmp_lake):
+    paths = jobs.LakePaths(tmp_lake)
+    _land(raw_frame, paths, _ride(1, 1) + _ride(1, 2))
+    jobs.run_silver(spark, paths, None)
+    _land(raw_frame, paths, _ride(9, 1, amount=40.0))  # late rows for day 1 arrive on day 2
+    jobs.run_silver(spark, paths, "2024-01-02")
+    rev = {str(r["event_date"]): r["revenue_pkr"] for r in jobs.read_silver_daily(spark, paths).collect()}
+    assert rev == {"2024-01-01": 100.0, "2024-01-02": 100.0}  # day 1 not yet recomputed
+    jobs.run_silver(spark, paths, "2024-01-01")
+    rev = {str(r["event_date"]): r["revenue_pkr"] for r in jobs.read_silver_daily(spark, paths).collect()}
+    assert rev == {"2024-01-01": 140.0, "2024-01-02": 100.0}
