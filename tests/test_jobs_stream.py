@@ -318,3 +318,23 @@ def test_late_event_changes_silver_only_when_its_date_reruns(spark, raw_frame, t
     jobs.run_silver(spark, paths, "2024-01-01")
     rev = {str(r["event_date"]): r["revenue_pkr"] for r in jobs.read_silver_daily(spark, paths).collect()}
     assert rev == {"2024-01-01": 140.0, "2024-01-02": 100.0}
+
+
+def test_two_revenue_numbers(spark, raw_frame, tmp_lake):
+    """Silver: payments on the payment date. Gold: coalesce(paid, fare) on the ride date."""
+    from triplake.plans import pipeline as P
+    paths = jobs.LakePaths(tmp_lake)
+    _land(raw_frame, paths, [
+        ev("a", "ride_ended", time="2024-01-01T23:59:00.000000+00:00", duration_min=5.0, fare_amount=50.0),
+        ev("a", "payment_completed", time="2024-01-02T00:01:00.000000+00:00", amount=55.0),
+        ev("b", "ride_ended", time="2024-01-01T10:00:00.000000+00:00", duration_min=5.0, fare_amount=30.0),
+        ev("c", "ride_ended", time="2024-01-01T11:00:00.000000+00:00", duration_min=5.0, fare_amount=20.0),
+        ev("c", "payment_completed", time="2024-01-01T11:05:00.000000+00:00", amount=20.0),
+    ])
+    _seeds(spark, paths)
+    P.run_daily(spark, paths, None)
+    silver = {str(r["event_date"]): r["revenue_pkr"] for r in jobs.read_silver_daily(spark, paths).collect()}
+    assert silver == {"2024-01-01": 20.0, "2024-01-02": 55.0}  # unpaid b absent; a on its payment day
+    gold = {r["ride_id"]: (str(r["ride_date"]), r["revenue"])
+            for r in jobs.read_gold(spark, paths)["fct_rides"].collect()}
+    assert gold == {"a": ("2024-01-01", 55.0), "b": ("2024-01-01", 30.0), "c": ("2024-01-01", 20.0)}
