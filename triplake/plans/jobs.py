@@ -15,6 +15,7 @@ from triplake.operators import bronze as B
 from triplake.operators import gold as G
 from triplake.operators import raw as R
 from triplake.operators import silver as S
+from triplake.schemas import DAILY_CITY_METRICS_SCHEMA, HOURLY_DEMAND_SCHEMA
 from triplake.sinks import lake as sink
 from triplake.sources import lake as src
 
@@ -84,11 +85,13 @@ def run_silver(spark: SparkSession, paths: LakePaths, date: str | None = None,
 
 
 def read_silver_daily(spark: SparkSession, paths: LakePaths) -> DataFrame:
-    return src.read_layer(spark, paths.silver_daily, "silver")
+    """Declared schema: no inference, and a table written empty (only a
+    success marker, no data file) reads as empty instead of failing."""
+    return src.read_layer(spark, paths.silver_daily, "silver", DAILY_CITY_METRICS_SCHEMA)
 
 
 def read_silver_hourly(spark: SparkSession, paths: LakePaths) -> DataFrame:
-    return src.read_layer(spark, paths.silver_hourly, "silver")
+    return src.read_layer(spark, paths.silver_hourly, "silver", HOURLY_DEMAND_SCHEMA)
 
 
 # -- RAW ------------------------------------------------------------------- #
