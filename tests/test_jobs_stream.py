@@ -338,3 +338,21 @@ def test_two_revenue_numbers(spark, raw_frame, tmp_lake):
     gold = {r["ride_id"]: (str(r["ride_date"]), r["revenue"])
             for r in jobs.read_gold(spark, paths)["fct_rides"].collect()}
     assert gold == {"a": ("2024-01-01", 55.0), "b": ("2024-01-01", 30.0), "c": ("2024-01-01", 20.0)}
+
+
+def test_pipeline_on_a_day_with_only_requests(spark, raw_frame, tmp_lake):
+    """No ended rides or payments yet: every layer is written (empty) and readable."""
+    from triplake import cli
+    from triplake.operators import bi as BI
+    from triplake.plans import pipeline as P
+    paths = jobs.LakePaths(tmp_lake)
+    _land(raw_frame, paths, [ev(f"r{i}", "ride_requested") for i in range(3)])
+    _seeds(spark, paths)
+    rep = P.run_daily(spark, paths, None)
+    assert rep.ok, rep.steps
+    gold = jobs.read_gold(spark, paths)
+    assert gold["fct_rides"].count() == 0 and gold["fct_daily_city_metrics"].count() == 0
+    assert gold["fct_hourly_demand"].count() == 1
+    kpi = BI.kpis(gold["fct_rides"]).first()
+    assert kpi["total_rides"] is None or kpi["total_rides"] == 0
+    assert cli.main(["verify", "--lake-root", tmp_lake], spark=spark) == 0
