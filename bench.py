@@ -55,7 +55,10 @@ def main() -> None:
     from triplake.plans.catalog import QUERIES
 
     # optional extra settings, e.g. BENCH_DRIVER_MEMORY=4g (default heap otherwise)
-    conf = {}
+    import tempfile
+    # the pipeline registers catalog tables: keep the local session's default
+    # warehouse out of the working directory
+    conf = {"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="triplake-wh-")}
     if os.environ.get("BENCH_DRIVER_MEMORY"):
         conf["spark.driver.memory"] = os.environ["BENCH_DRIVER_MEMORY"]
     if os.environ.get("BENCH_EVENT_LOG_DIR"):  # per-job timings, written to a scratch folder

@@ -12,7 +12,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from triplake.session import build_session
 
-    s = build_session(app_name="triplake-tests", master="local[4]", shuffle_partitions=4)
+    # catalog tests create databases: keep the session's default warehouse
+    # out of the working directory (a cluster names its own)
+    s = build_session(app_name="triplake-tests", master="local[4]", shuffle_partitions=4,
+                      conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="triplake-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
