@@ -14,8 +14,10 @@ BROADCAST_MAX_ROWS = 2_000_000
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Return ``df`` with a broadcast hint if it has at most ``max_rows`` rows.
 
-    The check is ``limit(max_rows + 1).count()``, so it never scans more than
-    the bound needs, and the hint is only added behind that proof.
+    The check is ``limit(max_rows + 1).count()``: each task stops after
+    ``max_rows + 1`` rows, so the probe costs at most one scan of the
+    dimension itself (never of a fact), and the hint is only added behind
+    that proof.
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
