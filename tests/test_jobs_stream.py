@@ -356,3 +356,15 @@ def test_pipeline_on_a_day_with_only_requests(spark, raw_frame, tmp_lake):
     kpi = BI.kpis(gold["fct_rides"]).first()
     assert kpi["total_rides"] is None or kpi["total_rides"] == 0
     assert cli.main(["verify", "--lake-root", tmp_lake], spark=spark) == 0
+
+
+def test_seed_header_must_match_schema(spark, tmp_lake):
+    ok = f"{tmp_lake}/ok"
+    write_seed(spark.createDataFrame([("rider_1", "B", "vip", "2023-02-01")],
+                                     "rider_id string, rider_name string, segment string, signup_date string"), ok)
+    assert src.read_seed_riders(spark, ok).first()["segment"] == "vip"
+    bad = f"{tmp_lake}/bad"
+    write_seed(spark.createDataFrame([("B", "rider_1", "vip", "2023-02-01")],
+                                     "rider_name string, rider_id string, segment string, signup_date string"), bad)
+    with pytest.raises(Exception):
+        src.read_seed_riders(spark, bad).collect()

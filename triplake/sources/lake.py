@@ -85,9 +85,15 @@ def read_bronze(spark: SparkSession, path: str, dates: list[str] | None = None)
 
 
 def read_seed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Header CSV with declared column types (no inference pass)."""
+    """Header CSV with declared column types (no inference pass).
+
+    The header is checked against the schema (``enforceSchema`` off), so a
+    file whose columns are reordered or renamed fails instead of being
+    mapped by position into the wrong fields.
+    """
     try:
-        return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+        return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+                .option("mode", "FAILFAST").csv(path))
     except AnalysisException as exc:
         raise MissingLayerError("seed", path, exc) from exc
 
