@@ -368,3 +368,10 @@ def test_seed_header_must_match_schema(spark, tmp_lake):
                                      "rider_name string, rider_id string, segment string, signup_date string"), bad)
     with pytest.raises(Exception):
         src.read_seed_riders(spark, bad).collect()
+
+
+def test_cli_missing_layer_exits_1_with_hint(spark, tmp_lake, capsys):
+    from triplake import cli
+    assert cli.main(["gate", "--lake-root", f"{tmp_lake}/empty-lake"], spark=spark) == 1
+    out = capsys.readouterr().out
+    assert "[ERROR]" in out and "Hint" in out
