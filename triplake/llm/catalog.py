@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("host_quality", "exact_dedup")
+MODULES = ("host_quality", "exact_dedup", "repair_tokens")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
