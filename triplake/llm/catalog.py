@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("host_quality", "best_fit_packing", "exact_dedup", "token_counts", "repair_tokens")
+MODULES = ("host_quality", "best_fit_packing", "exact_dedup", "token_counts", "minhash_dedup", "repair_tokens")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
