@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("host_quality", "best_fit_packing", "exact_dedup", "token_counts", "minhash_dedup", "repair_tokens")
+MODULES = ("host_quality", "best_fit_packing", "secret_scan", "exact_dedup", "token_counts",
+           "minhash_dedup", "pii_pseudonyms", "source_mixing", "repair_tokens")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
