@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("host_quality", "best_fit_packing", "secret_scan", "exact_dedup", "token_counts",
+MODULES = ("host_quality", "suffix_dedup", "best_fit_packing", "secret_scan", "exact_dedup", "token_counts",
            "minhash_dedup", "pii_pseudonyms", "source_mixing", "repair_tokens")
 
 QUERIES: dict = {}
