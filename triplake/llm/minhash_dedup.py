@@ -9,8 +9,9 @@
    pairs, and members of one component skip each other, so a large group of near copies is joined in linear work.
 4. Then all that is left: representatives post under the rarest of their shared values (a prefix that any pair above
    the threshold must meet in). Lists of one component are done. In the others a representative goes that shares too
-   few of its shingles with any other to reach the similarity, and so do pairs whose shared shingles cannot; the rest
-   is confirmed if it reaches the match threshold. These bounds are exact: none of them drops a link.
+   few of its shingles with any other to reach the similarity, and so do pairs whose shared shingles cannot or whose
+   parity sketches differ in more bits than the sets may differ in elements; the rest is confirmed if it reaches the
+   match threshold. These bounds are exact: none of them drops a link.
 5. Components of the confirmed links, by stars over the link table.
 
 A pair at similarity 0.75 has 48 of 64 expected matches; fewer than 28 happen with a probability below 1e-7.
@@ -38,6 +39,9 @@ COORDINATES = 64
 LEAST_MATCHES = 28
 STAR_ROUNDS = 2
 HUBS_A_ROUND = 3
+# Longs of a set's parity sketch: 2048 bits, each flipped by the elements that hash to it.
+SKETCH_LONGS = 32
+SKETCH = [f"bits{i}" for i in range(SKETCH_LONGS)]
 NO_ID = np.iinfo(np.int64).min
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -78,6 +82,17 @@ def signatures(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def parity_sketches(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Per set, bit b tells whether an odd number of its elements hash to b; 32 longs a set, one set after the other.
+
+    Two sets' sketches differ in at most as many bits as the sets differ in elements, so the count is a safe bound.
+    """
+    bits = 64 * SKETCH_LONGS
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    odd = np.bincount(row * bits + (h >> np.uint64(20) & np.uint64(bits - 1)).astype(np.int64), minlength=bits * (len(at) - 1)) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").astype(np.int64)
+
+
 def _described(df: DataFrame) -> DataFrame:
     """(row_id, doc_id, text_hash, n_shingles, set_a, set_b, signature) of every row."""
 
@@ -219,18 +234,19 @@ def _able(live: DataFrame, texts: DataFrame) -> DataFrame:
     def scan(batches):
         for batch in batches:
             data, off = ta.flat(batch.column("text"))
-            for i, j in ta.pieces(off):
+            for i, j in ta.pieces(off, 1 << 20):
                 h, at = shingle_sets(data[off[i]:off[j]], off[i:j + 1] - off[i])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("rid").slice(i, j - i), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(h.view(np.int64)))],
-                    names=["rid", "h"])
+                    [batch.column("rid").slice(i, j - i), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(h.view(np.int64))),
+                     *(pa.array(x) for x in parity_sketches(h, at).reshape(-1, SKETCH_LONGS).T.copy())],
+                    names=["rid", "h", *SKETCH])
 
-    own = store.map_arrow(texts.join(store.maybe_broadcast(ids), "rid", "left_semi"), scan, "rid long, h array<long>")
+    own = store.map_arrow(texts.join(store.maybe_broadcast(ids), "rid", "left_semi"), scan, "rid long, h array<long>, " + ", ".join(f"{x} long" for x in SKETCH))
     own = own.dropDuplicates(["rid"])
     each = own.select("rid", F.explode("h").alias("h"))
     shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
     c = each.join(shared, "h", "left_semi").groupBy("rid").agg(F.count(F.lit(1)).alias("c"))
-    able = own.select("rid", F.size("h").cast("long").alias("n")).join(c, "rid")
+    able = own.select("rid", *SKETCH, F.size("h").cast("long").alias("n")).join(c, "rid")
     return store.written(able.where(10000 * F.col("c") >= 100 * SIMILARITY_PERCENT * F.col("n")), "minhash-able-ids")
 
 
@@ -243,11 +259,15 @@ def _across(live: DataFrame) -> DataFrame:
     size = live.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
     main = size.groupBy("key").agg(F.max(F.struct("k", "label"))["label"].alias("main"))
     live = live.join(main, "key")
-    other = live.select("key", *(F.col(c).alias(f"{c}_b") for c in ("rid", "label", "n", "c", "own")))
+    other = live.select("key", *(F.col(c).alias(f"{c}_b") for c in ("rid", "label", "n", "c", "own", *SKETCH)))
     least = F.least("c", "c_b") * (100 + SIMILARITY_PERCENT) >= SIMILARITY_PERCENT * (F.col("n") + F.col("n_b"))
+    # the sets may differ in this many elements; their sketches differ in no more bits than that
+    unlike = [F.bit_count(F.col(x).bitwiseXOR(F.col(f"{x}_b"))) for x in SKETCH]
+    bits = sum(unlike[1:], unlike[0])
+    near = bits * (100 + SIMILARITY_PERCENT) <= (100 - SIMILARITY_PERCENT) * (F.col("n") + F.col("n_b"))
     once = (F.col("label_b") == F.col("main")) | (F.col("rid") < F.col("rid_b"))
     first = F.array_intersect("own", "own_b")[0] == F.col("key")  # of all lists they share, in one
-    return (live.where("label != main").join(other, "key").where((F.col("label") != F.col("label_b")) & once & least & first)
+    return (live.where("label != main").join(other, "key").where((F.col("label") != F.col("label_b")) & once & least & near & first)
             .select(F.least("rid", "rid_b").alias("a"), F.greatest("rid", "rid_b").alias("b")).distinct())
 
 
