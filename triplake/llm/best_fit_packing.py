@@ -50,7 +50,7 @@ def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
         for batch in batches:
             own = batch.column("doc_id")
             data, off = ta.flat(batch.column("text"))
-            for i, j in ta.pieces(off, 1 << 21):
+            for i, j in ta.pieces(off, 1 << 19):
                 ids, at = enc.with_end(*coder.encode(data[off[i]:off[j]], off[i:j + 1] - off[i]), end_id)
                 raw = memoryview(np.ascontiguousarray(ids, "<u4").tobytes())
                 row, piece, start, length, crc = [], [], [], [], []

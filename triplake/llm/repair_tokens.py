@@ -151,7 +151,7 @@ def shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
         for batch in batches:
             own = batch.column("doc_id")
             data, off = ta.flat(batch.column("text"))
-            for i, j in ta.pieces(off, 1 << 21):
+            for i, j in ta.pieces(off, 1 << 19):
                 flat, cut = enc.with_end(*coder.encode(data[off[i]:off[j]], off[i:j + 1] - off[i]), end_id)
                 docs.append(own.slice(i, j - i).fill_null(0).to_numpy())
                 nulls.append(own.slice(i, j - i).is_null().to_numpy(zero_copy_only=False))

@@ -32,7 +32,7 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
-def pieces(offsets: np.ndarray, limit: int = 4 << 20) -> list[tuple[int, int]]:
+def pieces(offsets: np.ndarray, limit: int = 1 << 20) -> list[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes each (a longer row stands alone)."""
     out, i, n = [], 0, len(offsets) - 1
     while i < n:

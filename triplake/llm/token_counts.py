@@ -38,7 +38,7 @@ def write_flat(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         coder = enc.encoder(tokenizer, special_as_text=True)
         for batch in batches:
             data, off = ta.flat(batch.column(0))
-            for i, j in ta.pieces(off, 1 << 21):
+            for i, j in ta.pieces(off, 1 << 19):
                 ids, at = coder.encode(data[off[i]:off[j]], off[i:j + 1] - off[i])
                 raw = np.ascontiguousarray(ids, "<u4").tobytes()
                 bounds = (4 * at).tolist()
