@@ -353,11 +353,11 @@ _Q = {
     # ---------------------------------------------------------------- Silver
     "silver_ride_counts": "SELECT event_date, city, total_rides, avg_duration_min FROM o_daily WHERE total_rides > 0",
     "silver_revenue": "SELECT event_date, city, revenue_pkr, paid_rides FROM o_daily WHERE paid_rides > 0",
-    "silver_daily_city_metrics": f"SELECT {DAILY_COLS} FROM o_daily_edge ORDER BY event_date, city",
+    "silver_daily_city_metrics": f"SELECT {DAILY_COLS} FROM o_daily ORDER BY event_date, city",
     "silver_hourly_requests": "SELECT event_date, city, hour, ride_requests FROM o_hourly_req",
     "silver_hourly_demand": "SELECT event_date, city, hour, ride_requests, is_peak_hour FROM o_hourly ORDER BY 1, 2, 3",
     "silver_peak_hour": "SELECT event_date, city, hour, ride_requests, is_peak_hour FROM o_hourly WHERE is_peak_hour",
-    "silver_daily_one_day": f"""SELECT {DAILY_COLS} FROM o_daily_edge WHERE event_date = DATE '2024-01-05'
+    "silver_daily_one_day": f"""SELECT {DAILY_COLS} FROM o_daily WHERE event_date = DATE '2024-01-05'
                                 ORDER BY event_date, city""",
     "silver_overwrite_one_day": f"""
         SELECT {DAILY_COLS} FROM o_daily WHERE event_date <> DATE '2024-01-10'
@@ -397,14 +397,14 @@ _Q = {
     "test_fct_rides_relationships": TEST_RELATIONSHIPS,
     # ---------------------------------------------------------------- quality gate
     "dq_bronze": _suite_bronze("o_bronze", LENS_CITIES),
-    "dq_silver": _suite_silver("o_daily_edge", LENS_CITIES),
-    "dq_report": _suite_bronze("o_bronze_edge", STRICT_CITIES) + " UNION ALL "
-                 + _suite_silver("o_daily_edge", STRICT_CITIES),
+    "dq_silver": _suite_silver("o_daily", LENS_CITIES),
+    "dq_report": _suite_bronze("o_bronze", STRICT_CITIES) + " UNION ALL "
+                 + _suite_silver("o_daily", STRICT_CITIES),
     "dq_gate_verdict": _summary("base", _suite_bronze("o_bronze", LENS_CITIES) + " UNION ALL "
                                 + _suite_silver("o_daily", LENS_CITIES))
                        + " UNION ALL "
-                       + _summary("edge", _suite_bronze("o_bronze_edge", STRICT_CITIES) + " UNION ALL "
-                                  + _suite_silver("o_daily_edge", STRICT_CITIES)),
+                       + _summary("edge", _suite_bronze("o_bronze", STRICT_CITIES) + " UNION ALL "
+                                  + _suite_silver("o_daily", STRICT_CITIES)),
     # ---------------------------------------------------------------- verification and BI
     "verify_row_counts": _counts(_lake_counts("o_daily", "o_hourly")),
     "verify_orphans": """SELECT count_if(driver_name IS NULL) AS orphan_drivers,

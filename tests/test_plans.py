@@ -5,7 +5,6 @@ import os
 from pyspark.sql import functions as F
 
 from tests.conftest import ev, plan_text
-from triplake.functions import broadcast_if_small
 from triplake.operators import bronze as B
 from triplake.operators import gold as G
 from triplake.operators import silver as S
@@ -38,15 +37,15 @@ def test_small_dims_are_broadcast(spark):
     assert "BroadcastHashJoin" in plan_text(G.fct_rides(_stg(spark, 100), drivers, riders))
 
 
-def test_broadcast_hint_needs_proof(spark):
-    big = spark.range(1000)
+def test_large_dims_are_shuffled_and_plans_start_no_job(spark):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = spark.range(10).join(broadcast_if_small(big, max_rows=100), "id", "left")
-        assert "BroadcastHashJoin" not in plan_text(joined)
-        joined = spark.range(10).join(broadcast_if_small(big, max_rows=5000), "id", "left")
-        assert "BroadcastHashJoin" in plan_text(joined)
+        drivers, riders = _dims(spark, 50)
+        spark.sparkContext.setJobGroup("plan only", "")
+        plan = plan_text(G.fct_rides(_stg(spark, 100), drivers, riders))
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan only")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
@@ -109,3 +108,19 @@ def test_ride_join_shuffles_ended_once_and_splits_either_side(spark, raw_frame,
     assert len(rows) == 40 and sum(r["paid_amount"] is None for r in rows) == 14
     final = plan.split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final and "SortMergeJoin" in final and "LeftAnti" in final
+
+
+def test_registration_leaves_managed_tables_alone(spark, tmp_lake):
+    import pytest
+
+    from triplake.plans import namespaces as ns
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept_by_user")
+    spark.range(3).write.mode("overwrite").saveAsTable("kept_by_user.rides")
+    spark.range(5).write.parquet(f"{tmp_lake}/rides")
+    with pytest.raises(ValueError):
+        ns._register(spark, "kept_by_user.rides", f"{tmp_lake}/rides")
+    assert spark.table("kept_by_user.rides").count() == 3
+    ns._register(spark, "kept_by_user.other", f"{tmp_lake}/rides")
+    ns._register(spark, "kept_by_user.other", f"{tmp_lake}/rides")
+    assert spark.table("kept_by_user.other").count() == 5

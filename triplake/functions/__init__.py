@@ -1,6 +1,6 @@
 """Column-expression helpers (all built-in, JVM-side expressions)."""
 
 from triplake.functions.numeric import half_up_avg, half_up_ratio, half_up_sum
-from triplake.functions.joins import broadcast_if_small, count_if
+from triplake.functions.joins import count_if
 
-__all__ = ["half_up_avg", "half_up_ratio", "half_up_sum", "broadcast_if_small", "count_if"]
+__all__ = ["half_up_avg", "half_up_ratio", "half_up_sum", "count_if"]

@@ -1,28 +1,10 @@
-"""Join and predicate helpers."""
+"""Predicate helpers."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it is proven to have at most this many
-# rows; beyond that the join stays a shuffled join (which AQE may still turn
-# into a broadcast once it has measured the real size).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``df`` with a broadcast hint if it has at most ``max_rows`` rows.
-
-    The check is ``limit(max_rows + 1).count()``: each task stops after
-    ``max_rows + 1`` rows, so the probe costs at most one scan of the
-    dimension itself (never of a fact), and the hint is only added behind
-    that proof.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def count_if(cond: Column) -> Column:
     """Rows where ``cond`` is true; a null condition does not count."""
     return F.count_if(F.coalesce(cond, F.lit(False)))

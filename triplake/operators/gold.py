@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triplake.functions import broadcast_if_small, half_up_ratio
+from triplake.functions import half_up_ratio
 
 
 # -- staging ---------------------------------------------------------------- #
@@ -89,16 +89,16 @@ def fct_hourly_demand(stg: DataFrame) -> DataFrame:
 def fct_rides(stg: DataFrame, drivers: DataFrame, riders: DataFrame) -> DataFrame:
     """Rides left-joined to both dimensions.
 
-    A dimension is broadcast only after a bounded row count proves it small;
-    otherwise the join is shuffled (AQE can still broadcast it at run time).
+    No broadcast hint: the optimizer and AQE broadcast a dimension whose
+    measured bytes are below the session's threshold and shuffle it otherwise.
     """
-    d = broadcast_if_small(drivers.select(
+    d = drivers.select(
         "driver_id", "driver_name", F.col("rating").alias("driver_rating"),
         F.col("home_zone").alias("driver_home_zone"),
-    ))
-    ri = broadcast_if_small(riders.select(
+    )
+    ri = riders.select(
         "rider_id", "rider_name", F.col("segment").alias("rider_segment"),
-    ))
+    )
     return (
         stg.join(d, "driver_id", "left")
         .join(ri, "rider_id", "left")

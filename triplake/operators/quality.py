@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplake.config import LakeConfig
-from triplake.functions import broadcast_if_small, count_if
+from triplake.functions import count_if
 
 
 class DataQualityError(RuntimeError):
@@ -195,7 +195,7 @@ def test_relationships(child: DataFrame, model: str, column: str,
     keys = parent.select(F.col(parent_column).alias(column)).filter(F.col(column).isNotNull())
     orphans = (
         child.select(column).filter(F.col(column).isNotNull())
-        .join(broadcast_if_small(keys.distinct()), column, "left_anti")
+        .join(keys.distinct(), column, "left_anti")
         .agg(F.count(F.lit(1)).alias("failures"))
     )
     return _result(orphans, model, column, "relationships")

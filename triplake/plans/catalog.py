@@ -165,7 +165,7 @@ def silver_revenue(spark, sf):
 
 
 def silver_daily_city_metrics(spark, sf):
-    return S.daily_city_metrics(_overlay_bronze(spark, sf), sort=True)
+    return S.daily_city_metrics(_bronze(spark, sf), sort=True)
 
 
 def silver_hourly_requests(spark, sf):
@@ -181,7 +181,7 @@ def silver_peak_hour(spark, sf):
 
 
 def silver_daily_one_day(spark, sf):
-    return S.daily_city_metrics(S.for_date(_overlay_bronze(spark, sf), ONE_DAY), sort=True)
+    return S.daily_city_metrics(S.for_date(_bronze(spark, sf), ONE_DAY), sort=True)
 
 
 def silver_overwrite_one_day(spark, sf):
@@ -310,23 +310,22 @@ def dq_bronze(spark, sf):
 
 
 def dq_silver(spark, sf):
-    daily = S.daily_city_metrics(_overlay_bronze(spark, sf))
+    daily = S.daily_city_metrics(_bronze(spark, sf))
     return Q.run_suite(daily, "silver_daily_city_metrics", Q.silver_daily_checks(LENS_CONFIG))
 
 
 def dq_report(spark, sf):
-    """All nine checks on the edge lake (overlay, MIDDLE EAST not valid)."""
-    b = _overlay_bronze(spark, sf)
+    """All nine checks with MIDDLE EAST left out of the valid cities."""
+    b = _bronze(spark, sf)
     return Q.gate_report(b, S.daily_city_metrics(b), LENS_STRICT_CONFIG)
 
 
 def dq_gate_verdict(spark, sf):
-    """Per-layer verdicts for the base lake (passes) and the edge lake (fails)."""
+    """Per-layer verdicts with all cities valid (passes) and with one left out (fails)."""
     base_b = _bronze(spark, sf)
     base = Q.layer_summary(Q.gate_report(
         base_b, jobs.read_silver_daily(spark, fx.silver_lake(spark, sf)), LENS_CONFIG))
-    edge_b = _overlay_bronze(spark, sf)
-    edge = Q.layer_summary(Q.gate_report(edge_b, S.daily_city_metrics(edge_b), LENS_STRICT_CONFIG))
+    edge = Q.layer_summary(Q.gate_report(base_b, S.daily_city_metrics(base_b), LENS_STRICT_CONFIG))
     return (base.select(F.lit("base").alias("scenario"), "*")
             .unionByName(edge.select(F.lit("edge").alias("scenario"), "*")))
 

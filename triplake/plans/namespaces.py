@@ -24,6 +24,14 @@ def ensure_namespaces(spark: SparkSession, paths: jobs.LakePaths,
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {n} LOCATION '{paths.root}/_catalog/{n}.db'")
 
 
+def _refuse_managed(spark: SparkSession, name: str, path: str) -> None:
+    """Raise if ``name`` is a managed table: dropping it would delete someone's files."""
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if about.get("Type") != "EXTERNAL":
+        raise ValueError(f"{name} is a {about.get('Type', 'view')} and not a table of the lake at {path}; "
+                         "drop or rename it before registering")
+
+
 def _register(spark: SparkSession, name: str, path: str, schema=None) -> None:
     """External parquet table over ``path``.
 
@@ -31,8 +39,10 @@ def _register(spark: SparkSession, name: str, path: str, schema=None) -> None:
     folders are discovered (and pruned) by the file index at read time;
     without it the schema is inferred and partition folders registered.
     """
-    # dropping an external table only forgets it; the files stay
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if spark.catalog.tableExists(name):
+        _refuse_managed(spark, name, path)
+        # dropping an external table only forgets it, the files stay
+        spark.sql(f"DROP TABLE {name}")
     if schema is not None:
         spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
         return

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. The time zone fixes `to_date` / `hour`
-# semantics (events carry UTC offsets); dynamic overwrite lets a daily run
-# replace only its own date partitions; AQE coalesces small shuffles, splits
+# semantics (events carry UTC offsets); AQE coalesces small shuffles, splits
 # skewed join partitions and turns joins whose measured side is small into
 # broadcast joins at run time.
 JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -82,6 +81,9 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - no SparkContext on a remote session
             d = None
     if not d:
+        master = spark.conf.get("spark.master", "") or ""
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="triplake-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(d)
