@@ -17,7 +17,9 @@ import public_tokenizers
 from triplake.llm import textarrays as ta
 
 # Distinct chunks a worker remembers before it starts over.
-CACHE_CHUNKS = 1 << 21
+CACHE_CHUNKS = 1 << 19
+# New chunks given to the library at once; its encodings take far more memory than the ids kept of them.
+LEARN_CHUNKS = 1 << 11
 
 _PLAIN = np.zeros(256, bool)  # printable ASCII, which is never white space
 _PLAIN[0x21:0x7F] = True
@@ -68,10 +70,13 @@ class Encoder:
             entries, at = entries[lost], (at[lost] + 1) & mask
 
     def _learn(self, chunks: list[str], h: np.ndarray, head: np.ndarray) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for y in ids for x in y), np.uint32, int(lengths.sum()))
-        m = self.n + len(ids)
+        lengths, flat = np.zeros(len(chunks), np.int64), []
+        for k in range(0, len(chunks), LEARN_CHUNKS):
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks[k:k + LEARN_CHUNKS], add_special_tokens=False)]
+            lengths[k:k + len(ids)] = list(map(len, ids))
+            flat.append(np.fromiter((x for y in ids for x in y), np.uint32, sum(map(len, ids))))
+        flat = np.concatenate(flat)
+        m = self.n + len(chunks)
         if m > len(self.hash):
             size = max(2 * len(self.hash), m)
             self.hash, self.head = np.resize(self.hash, size), np.resize(self.head, size)
