@@ -22,8 +22,7 @@ o_rides AS (
     (['bike', 'go', 'go_plus', 'business'])[e.event_id % 4 + 1] AS vehicle_type,
     CASE WHEN e.event_id % 50 = 0 THEN NULL ELSE g.r_name END AS city_raw,
     50 + e.event_id % 401 AS dd,
-    ([60, 120, 160, 250])[e.event_id % 4 + 1] * 100
-      + ([8, 14, 18, 28])[e.event_id % 4 + 1] * (50 + e.event_id % 401) * 10 AS fare_cents,
+    CAST(floor(abs(COALESCE(e.value, 0.0)) * 100) AS BIGINT) + 100 AS fare_cents,
     (['cash', 'card', 'wallet'])[e.event_id % 3 + 1] AS pay_method,
     (e.event_type = 'error' AND e.event_id % 5 < 2) AS cancelled,
     e.event_id % 40 = 7 AS f_null_id,

@@ -42,3 +42,32 @@ def test_all_null_inputs_give_null(spark):
     r = df.agg(half_up_sum("v").alias("s"), half_up_avg("v").alias("a")).first()
     assert (r["s"], r["a"]) == (None, None)
     assert df.agg(F.count("v")).first()[0] == 0
+
+
+def _sums(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "v double").agg(
+        half_up_sum("v").alias("s"), half_up_avg("v").alias("a")).first()
+
+
+def test_any_double_gives_the_floating_result(spark):
+    assert tuple(_sums(spark, [1e12, 0.25])) == (1000000000000.25, 500000000000.13)
+    assert tuple(_sums(spark, [1e15, 1e15])) == (2e15, 1e15)
+    assert _sums(spark, [1e300, 5.0])["s"] == 1e300
+    assert _sums(spark, [float("inf"), 5.0])["s"] == float("inf")
+    assert all(x != x for x in _sums(spark, [100.0] * 5 + [float("nan")]))
+    assert tuple(_sums(spark, [None, 2.5])) == (2.5, 2.5)
+
+
+def test_ratio_of_large_and_special_values(spark):
+    rows = [(2e12, 4.0), (1e300, 2.0), (float("inf"), 2.0), (1.0, 0.0), (None, 2.0), (2e12, None)]
+    got = [r["q"] for r in spark.createDataFrame(rows, "n double, d double").coalesce(1).select(
+        half_up_ratio("n", "d").alias("q")).collect()]
+    assert got == [5e11, 5e299, float("inf"), None, None, None]
+
+
+def test_large_city_day_revenue(spark):
+    from triplake.operators import gold as G
+
+    day = spark.createDataFrame([("2024-01-01", "X", 4, 1.0, 2e12, 4)],
+                                "metric_date string, city string, total_rides long, avg_duration_min double, revenue_pkr double, paid_rides long")
+    assert G.fct_daily_city_metrics(day).first()["revenue_per_ride"] == 5e11

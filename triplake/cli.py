@@ -26,7 +26,9 @@ def _date(s: str | None) -> str | None:
 def _paths(args):
     from triplake.plans.jobs import LakePaths
 
-    root = args.lake_root or os.getenv("LAKE_ROOT", "/opt/datalake")
+    root = args.lake_root or os.getenv("LAKE_ROOT")
+    if not root:
+        raise SystemExit("name the lake folder with --lake-root or LAKE_ROOT (one that all executors share)")
     return LakePaths(root, bronze_root=args.bronze or os.getenv("BRONZE_PATH"),
                      silver_root=args.silver or os.getenv("SILVER_PATH"))
 
@@ -62,7 +64,8 @@ def main(argv=None, spark=None) -> int:
                    help="bound a Kafka micro-batch (drains a backlog in bounded steps)")
     p.add_argument("--max-files-per-trigger", type=int, help="bound a file-stream micro-batch")
     p.add_argument("--preview", action="store_true", help="show the written tables")
-    p.add_argument("--strict-tests", action="store_true", help="fail the run on table-test failures")
+    p.add_argument("--strict-tests", action=argparse.BooleanOptionalAction, default=True,
+                   help="a failed table test fails the run (the default)")
     p.add_argument("--profile", choices=["cluster"], help="session sizing profile (see session.CLUSTER_CONF)")
     args = p.parse_args(argv)
 
@@ -83,7 +86,7 @@ def main(argv=None, spark=None) -> int:
         ckpt = args.checkpoint or f"{paths.root}/_checkpoints/bronze"
         q = bronze_stream.start(src, paths.bronze, ckpt, cfg, available_now=args.available_now,
                                 interval=args.interval)
-        print(f"[INFO] streaming -> {paths.bronze} (checkpoint {ckpt})")
+        print(f"stream: landing in {paths.bronze}, offsets in {ckpt}")
         q.awaitTermination()  # runs until stopped
         return 0
 
@@ -93,7 +96,7 @@ def main(argv=None, spark=None) -> int:
     try:
         if args.job == "silver":
             wrote = jobs.run_silver(spark, paths, date)
-            print("[INFO] Silver written" if wrote else "[WARN] no Bronze rows to process. Nothing written.")
+            print("silver: partitions replaced" if wrote else "silver: empty selection, earlier partitions kept")
             if wrote and args.preview:
                 jobs.read_silver_daily(spark, paths).orderBy("event_date", "city").show(truncate=False)
                 jobs.read_silver_hourly(spark, paths).filter("is_peak_hour").orderBy(
@@ -108,16 +111,13 @@ def main(argv=None, spark=None) -> int:
             for layer in dict.fromkeys(r["layer"] for r in rows):
                 lr = [r for r in rows if r["layer"] == layer]
                 bad = [r for r in lr if not r["passed"]]
-                if not bad:
-                    print(f"[PASS] {layer}: all {len(lr)} checks passed")
-                else:
-                    print(f"[FAIL] {layer}: {len(bad)} of {len(lr)} checks FAILED")
-                    for r in bad:
-                        print(f"   - {r['check']} on '{r['column']}': {r['unexpected_count']} bad value(s)")
+                print(f"{layer:<28} {len(lr) - len(bad)}/{len(lr)} checks hold")
+                for r in bad:
+                    print(f"    {r['column']}: {r['unexpected_count']} rows break {r['check']}")
             if any(not r["passed"] for r in rows):
-                print("*** DATA QUALITY GATE FAILED -- pipeline should STOP (exit 1) ***")
+                print("gate: closed")
                 return 1
-            print(">>> DATA QUALITY GATE PASSED -- safe to proceed (exit 0)")
+            print("gate: open")
         elif args.job == "load-raw":
             from triplake.plans import namespaces as ns
 
@@ -125,16 +125,14 @@ def main(argv=None, spark=None) -> int:
             ns.ensure_namespaces(spark, paths)
             ns.register_raw(spark, paths, schemas)
         elif args.job == "gold":
-            from triplake.operators import quality as Q
             from triplake.plans import namespaces as ns
+            from triplake.plans import pipeline as P
 
-            schemas = jobs.build_gold(spark, paths)
+            rep = P.RunReport(None)
             ns.ensure_namespaces(spark, paths)
-            ns.register_gold(spark, paths, schemas)
-            results = Q.model_tests(jobs.read_gold(spark, paths), cfg).collect()  # 14 rows
-            for r in results:
+            for r in P.tested_gold(spark, paths, cfg, rep):  # 14 rows at most
                 print(f"{r['model']:<24} {r['column_name']:<14} {r['test']:<16} {r['failures']:>8} {r['status']}")
-            if args.strict_tests and any(r["status"] != "pass" for r in results):
+            if not rep.ok or args.strict_tests and rep.failed_tests:
                 return 1
         elif args.job == "daily":
             from triplake.operators import quality as Q
@@ -143,7 +141,7 @@ def main(argv=None, spark=None) -> int:
             try:
                 rep = P.run_daily(spark, paths, date, cfg, strict_tests=args.strict_tests)
             except (P.TableTestError, Q.DataQualityError) as exc:
-                print(f"[ERROR] {exc}")
+                print(f"error: {exc}")
                 return 1
             for step, status, detail in rep.steps:
                 print(f"{step:<14} {status:<8} {detail}")
@@ -153,10 +151,12 @@ def main(argv=None, spark=None) -> int:
             from triplake.operators import verify as V
 
             V.row_counts(jobs.lake_tables(spark, paths)).show(truncate=False)
-            V.orphans(jobs.read_gold(spark, paths)["fct_rides"]).show()
+            lost = V.orphans(jobs.read_gold(spark, paths)["fct_rides"]).first()
+            print(f"{V.verdict(lost)}: of {lost['total_rides']} rides {lost['orphan_drivers']} lack their driver's "
+                  f"master data and {lost['orphan_riders']} their rider's")
             V.preview(jobs.read_gold(spark, paths)["fct_rides"]).show(truncate=False)
     except MissingLayerError as exc:
-        print(f"[ERROR] {exc}")
+        print(f"error: {exc}")
         return 1
     finally:
         if own_session and args.job != "stream":

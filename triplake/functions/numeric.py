@@ -2,11 +2,13 @@
 
 Rounding a floating sum or average to 2 places can flip on a .xx5 tie
 depending on the order rows were added, which differs between runs and
-partitionings. Measures are therefore accumulated as decimals (exact for
-inputs with up to ``SCALE`` fractional digits), rounded half-up, and
-returned as double like the floating versions.
+partitionings. Values below ``EXACT_BELOW`` are therefore accumulated as
+decimals (exact for inputs with up to ``SCALE`` fractional digits) and
+rounded half-up. All other values, NaN and infinities among them, add up
+as doubles, so any double gives the floating result: nothing raises and
+nothing becomes null.
 
-Decimal widths are chosen so quotients keep at least 12 fractional digits
+Decimal widths are chosen so quotients keep at least 10 fractional digits
 (a ``decimal(38, s)`` numerator would leave Spark only 6, and a second
 rounding from 6 places can move a result near a .xx5 tie).
 """
@@ -19,6 +21,8 @@ from pyspark.sql import functions as F
 SCALE = 6
 DEC = f"decimal(18,{SCALE})"      # one input value
 SUM_DEC = f"decimal(28,{SCALE})"  # a sum of inputs
+EXACT_BELOW = 1e9                 # 1e13 such values fit SUM_DEC
+RATIO_EXACT_BELOW = 1e15          # a row value that is itself a sum
 
 
 def _c(col: str | Column) -> Column:
@@ -26,26 +30,40 @@ def _c(col: str | Column) -> Column:
 
 
 def exact_sum(col: str | Column) -> Column:
-    """Unrounded decimal sum of ``col`` (``SUM_DEC``)."""
-    return F.sum(_c(col).cast(DEC)).cast(SUM_DEC)
+    """Unrounded decimal sum of the values below ``EXACT_BELOW``; null when there are none."""
+    c = _c(col)
+    return F.sum(F.when(F.abs(c) < EXACT_BELOW, c).cast(DEC)).cast(SUM_DEC)
+
 
+def large_sum(col: str | Column) -> Column:
+    """Double sum of all other values; null when there are none."""
+    c = _c(col)
+    return F.sum(F.when(~(F.abs(c) < EXACT_BELOW), c.cast("double")))
 
-def div_half_up(num: Column, den: Column, digits: int = 2) -> Column:
-    """``round(num / den, digits)`` half-up as double; null when den is 0/null."""
-    return F.round(F.try_divide(num.cast(SUM_DEC), den), digits).cast("double")
+
+def rounded_total(exact: Column, large: Column, den: Column | None = None, digits: int = 2) -> Column:
+    """``round((exact + large) / den, digits)`` half-up as double; null when den is 0/null."""
+    exact = exact.cast(SUM_DEC)
+    whole = large + F.coalesce(exact.cast("double"), F.lit(0.0))
+    if den is not None:
+        exact, whole = F.try_divide(exact, den), F.try_divide(whole, den)
+    return F.coalesce(F.round(whole, digits), F.round(exact, digits).cast("double"))
 
 
 def half_up_sum(col: str | Column, digits: int = 2) -> Column:
     """``round(sum(col), digits)``; null when every input is null."""
-    return F.round(exact_sum(col), digits).cast("double")
+    return rounded_total(exact_sum(col), large_sum(col), digits=digits)
 
 
 def half_up_avg(col: str | Column, digits: int = 2) -> Column:
     """``round(avg(col), digits)`` over non-null inputs; null if there are none."""
-    c = _c(col)
-    return div_half_up(exact_sum(c), F.count(c), digits)
+    return rounded_total(exact_sum(col), large_sum(col), F.count(_c(col)), digits)
 
 
 def half_up_ratio(num: str | Column, den: str | Column, digits: int = 2) -> Column:
     """``round(num / den, digits)`` for row values; null when ``den`` is 0 or null."""
-    return div_half_up(_c(num).cast(DEC), _c(den).cast(DEC), digits)
+    num, den = _c(num), _c(den)
+    fits_num, fits_den = F.abs(num) < RATIO_EXACT_BELOW, F.abs(den) < EXACT_BELOW
+    exact = F.try_divide(F.when(fits_num, num).cast(SUM_DEC), F.when(fits_den, den).cast(DEC))
+    floating = F.try_divide(num.cast("double"), den.cast("double"))
+    return F.when(fits_num & fits_den, F.round(exact, digits).cast("double")).otherwise(F.round(floating, digits))

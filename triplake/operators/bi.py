@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from triplake.functions import half_up_avg, half_up_ratio, half_up_sum
-from triplake.functions.numeric import SUM_DEC, div_half_up, exact_sum
+from triplake.functions import half_up_avg, half_up_sum
+from triplake.functions.numeric import SUM_DEC, exact_sum, large_sum, rounded_total
 
 
 def kpis(fct_rides: DataFrame) -> DataFrame:
@@ -19,15 +19,18 @@ def kpis(fct_rides: DataFrame) -> DataFrame:
     per_driver = fct_rides.groupBy("driver_id").agg(
         F.count(F.lit(1)).alias("rides"),
         exact_sum("revenue").alias("rev"),
+        large_sum("revenue").alias("rev_large"),
         exact_sum("fare_amount").alias("fare_sum"),
+        large_sum("fare_amount").alias("fare_large"),
         F.count("fare_amount").alias("fare_n"),
         F.max("driver_rating").alias("rating"),
     )
+    revenue, large = F.sum("rev").cast(SUM_DEC), F.sum("rev_large")
     return per_driver.agg(
-        F.round(F.sum("rev").cast(SUM_DEC), 2).cast("double").alias("total_revenue"),
+        rounded_total(revenue, large).alias("total_revenue"),
         F.sum("rides").alias("total_rides"),
-        div_half_up(F.sum("fare_sum"), F.sum("fare_n"), 2).alias("avg_fare"),
-        div_half_up(F.round(F.sum("rev").cast(SUM_DEC), 2), F.sum("rides"), 2).alias("revenue_per_ride"),
+        rounded_total(F.sum("fare_sum"), F.sum("fare_large"), F.sum("fare_n")).alias("avg_fare"),
+        rounded_total(F.round(revenue, 2), large, F.sum("rides")).alias("revenue_per_ride"),
         half_up_avg(F.when(F.col("driver_id").isNotNull(), F.col("rating")), 2).alias("avg_driver_rating"),
         F.count("driver_id").alias("active_drivers"),
     )
@@ -74,5 +77,4 @@ def driver_performance(fct_rides: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["kpis", "revenue_by_vehicle", "revenue_by_segment", "demand_by_hour",
-           "driver_performance", "half_up_ratio"]
+__all__ = ["kpis", "revenue_by_vehicle", "revenue_by_segment", "demand_by_hour", "driver_performance"]

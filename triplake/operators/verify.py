@@ -33,6 +33,11 @@ def orphans(fct_rides: DataFrame) -> DataFrame:
     )
 
 
+def verdict(orphan_row) -> str:
+    """OK when every ride found its driver and its rider, else WARNING."""
+    return "WARNING" if orphan_row["orphan_drivers"] or orphan_row["orphan_riders"] else "OK"
+
+
 def preview(fct_rides: DataFrame, n: int = 5) -> DataFrame:
     """First ``n`` rides by id (a top-k: each task keeps n rows)."""
     return fct_rides.select(*PREVIEW_COLUMNS).orderBy("ride_id").limit(n)

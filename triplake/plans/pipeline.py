@@ -18,6 +18,10 @@ from triplake.session import configure
 from triplake.sources import lake as src
 
 
+DIMENSIONS = ("dim_driver", "dim_rider")
+FACTS = ("fct_rides", "fct_daily_city_metrics", "fct_hourly_demand")
+
+
 class TableTestError(RuntimeError):
     """Raised when a Gold table test fails and the run is strict."""
 
@@ -26,6 +30,7 @@ class TableTestError(RuntimeError):
 class RunReport:
     date: str | None
     steps: list = field(default_factory=list)  # (step, status, detail)
+    failed_tests: str = ""
 
     def add(self, step: str, status: str, detail: str = "") -> None:
         self.steps.append((step, status, detail))
@@ -36,8 +41,11 @@ class RunReport:
 
 
 def run_daily(spark: SparkSession, paths: jobs.LakePaths, date: str | None,
-              cfg: LakeConfig = LakeConfig(), strict_tests: bool = False) -> RunReport:
-    """Run the batch side for ``date`` (None = every date in Bronze)."""
+              cfg: LakeConfig = LakeConfig(), strict_tests: bool = True) -> RunReport:
+    """Run the batch side for ``date`` (None = every date in Bronze).
+
+    A failed table test raises unless ``strict_tests`` is false, which records it as a warning.
+    """
     configure(spark)
     rep = RunReport(date)
     ns.ensure_namespaces(spark, paths)
@@ -65,32 +73,35 @@ def run_daily(spark: SparkSession, paths: jobs.LakePaths, date: str | None,
     ns.register_staging_views(spark)
     rep.add("load_raw", "ok")
 
-    # Gold in dependency order; a failed dim test skips the fact that needs it
-    gold_schemas = jobs.build_gold(spark, paths, models=("dim_driver", "dim_rider"))
-    gold = jobs.read_gold_partial(spark, paths, ("dim_driver", "dim_rider"))
-    dim_results = Q.dim_tests(gold).collect()  # 4 rows
-    dims_ok = all(r["status"] == "pass" for r in dim_results)
-    rep.add("gold_dims", "ok" if dims_ok else "failed")
-    if not dims_ok:
+    tested_gold(spark, paths, cfg, rep)
+    if rep.failed_tests and strict_tests:
+        raise TableTestError(rep.failed_tests)
+    return rep
+
+
+def tested_gold(spark: SparkSession, paths: jobs.LakePaths, cfg: LakeConfig, rep: RunReport) -> list:
+    """Gold in dependency order: a failed dimension test skips the facts. Returns the test rows (14 at most)."""
+    schemas = jobs.build_gold(spark, paths, models=DIMENSIONS)
+    tests = Q.dim_tests(jobs.read_gold_partial(spark, paths, DIMENSIONS)).collect()
+    rep.failed_tests = _failures(tests)
+    rep.add("gold_dims", "failed" if rep.failed_tests else "ok")
+    if rep.failed_tests:
         rep.add("gold_facts", "skipped", "dimension tests failed")
-        if strict_tests:
-            raise TableTestError("dimension tests failed")
-        return rep
-    gold_schemas.update(jobs.build_gold(
-        spark, paths, models=("fct_rides", "fct_daily_city_metrics", "fct_hourly_demand")))
-    ns.register_gold(spark, paths, gold_schemas)
+        return tests
+    schemas.update(jobs.build_gold(spark, paths, models=FACTS))
+    ns.register_gold(spark, paths, schemas)
     rep.add("gold_facts", "ok")
+    tests += Q.fact_tests(jobs.read_gold(spark, paths), cfg).collect()
+    rep.failed_tests = _failures(tests)
+    rep.add("table_tests", "warn" if rep.failed_tests else "ok", rep.failed_tests)
+    return tests
 
-    tests = dim_results + Q.fact_tests(jobs.read_gold(spark, paths), cfg).collect()  # 14 rows
-    failed = [t for t in tests if t["status"] != "pass"]
-    rep.add("table_tests", "warn" if failed else "ok",
-            "; ".join(f"{t['model']}.{t['column_name']} {t['test']}: {t['failures']}" for t in failed))
-    if failed and strict_tests:
-        raise TableTestError(rep.steps[-1][2])
-    return rep
+
+def _failures(tests: list) -> str:
+    return "; ".join(f"{t['model']}.{t['column_name']} {t['test']}: {t['failures']}" for t in tests if t["status"] != "pass")
 
 
 def backfill(spark: SparkSession, paths: jobs.LakePaths, cfg: LakeConfig = LakeConfig(),
-             strict_tests: bool = False) -> RunReport:
+             strict_tests: bool = True) -> RunReport:
     """Every date found in Bronze."""
     return run_daily(spark, paths, None, cfg, strict_tests)

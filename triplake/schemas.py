@@ -19,7 +19,7 @@ POINT = StructType([
     StructField("lon", DoubleType()),
 ])
 
-# Superset of every event type; fields absent on an event parse as null.
+# Fixed values (the event contract): names, order and types of the JSON fields.
 EVENT_SCHEMA = StructType([
     StructField("event_id", StringType()),
     StructField("event_type", StringType()),

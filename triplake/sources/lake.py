@@ -27,10 +27,11 @@ BRONZE_SCHEMA = StructType(
 )
 
 HINTS = {
-    "bronze": "run the Bronze stream (or a backfill) first so Bronze has data.",
-    "silver": "run the Silver job first so Silver exists.",
-    "raw": "run the RAW load first.",
-    "gold": "run the Gold build first.",
+    "bronze": "the `stream` job lands it",
+    "silver": "the `silver` job writes it",
+    "raw": "the `load-raw` job writes it",
+    "gold": "the `gold` job writes it",
+    "seed": "master data is read from header CSV files there",
 }
 
 
@@ -39,8 +40,7 @@ class MissingLayerError(RuntimeError):
 
     def __init__(self, layer: str, path: str, cause: Exception | None = None):
         self.layer, self.path = layer, path
-        hint = HINTS.get(layer, "")
-        super().__init__(f"could not read {layer} at {path}: {cause}. Hint: {hint}")
+        super().__init__(f"no {layer} layer at {path} ({HINTS.get(layer, 'unknown layer')}): {cause}")
 
 
 def read_layer(spark: SparkSession, path: str, layer: str,
