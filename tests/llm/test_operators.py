@@ -202,14 +202,41 @@ def test_exact_dedup_small_tables_and_probing(monkeypatch, spark, docs):
     assert kept.columns == docs.columns and kept.count() == sum(r[3] for r in want)
 
 
-def test_separator_scan_over_small_blocks(spark, docs):
+def test_separator_scan_over_small_blocks(spark, folder):
+    """Counts, places and ids of documents, whichever bounds of blocks and files they cross."""
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    want = by_content((doc, len(ids) - 1) for doc, ids in encoded(token_counts.TOKENIZER, 0, special=True))
+    names = token_counts.places(table)
+    for block, file_docs, id_type in ((65, 2, ">u2"), (4096, 1 << 14, ">u2"), (64, 5, "<u4")):
+        path = store.scratch_path(spark, "flat")
+        token_counts.write_flat(table, path, file_docs=file_docs, id_type=id_type)
+        counts = token_counts.scan_flat(spark, path, block_bytes=block, id_type=id_type)
+        got = token_counts.named(counts, names).orderBy("doc_no").collect()
+        assert by_content((r.doc_id, r.n_tokens) for r in got) == want and [r.doc_no for r in got] == list(range(len(want)))
+        assert got[0].start == 0 and all(b.start == a.start + a.n_tokens + 1 for a, b in zip(got, got[1:]))
+        assert [r.doc_id for r in got] == [r.doc_id for r in names.orderBy("part", "k").collect()]
+
+
+def test_separator_scan_refuses_names_of_another_table(spark, folder):
+    table = spark.read.parquet(f"{folder}/documents.parquet")
     path = store.scratch_path(spark, "flat")
-    token_counts.write_flat(docs, path)
-    n = sorted(len(ids) - 1 for _, ids in encoded(token_counts.TOKENIZER, 0, special=True))
-    for block in (64, 4096):
-        got = sorted(token_counts.scan_flat(spark, path, block_bytes=block).collect())
-        assert sorted(r.n_tokens for r in got) == n and [r.doc_no for r in got] == list(range(len(n)))
-        assert all(b.start == a.start + a.n_tokens + 1 for a, b in zip(got, got[1:]))
+    token_counts.write_flat(table.where("doc_id > 3"), path)
+    with pytest.raises(Exception, match="do not match"):
+        token_counts.named(token_counts.scan_flat(spark, path), token_counts.places(table)).collect()
+
+
+def test_separator_scan_of_an_open_end_of_nothing_and_of_bad_ids(spark, folder):
+    path = store.scratch_path(spark, "flat-open")
+    ids = np.array([5, 6, 7, 99, 8, 9], ">u2").tobytes()  # with end id 99; the last byte is the writer's line end
+    spark.createDataFrame([(bytearray(ids[:-1]),)], "v binary").coalesce(1).selectExpr("cast(v AS string)").write.option("lineSep", "\t").text(path)
+    got = sorted(tuple(r)[:4] for r in token_counts.scan_flat(spark, path, end_id=99, block_bytes=4).collect())
+    assert got == [(0, 0, 3, True), (1, 4, 2, False)]
+    empty, table = store.scratch_path(spark, "flat-empty"), spark.read.parquet(f"{folder}/documents.parquet")
+    token_counts.write_flat(table.where("false"), empty)
+    assert token_counts.named(token_counts.scan_flat(spark, empty), token_counts.places(table.where("false"))).collect() == []
+    for end in (1 << 16, 0x80):
+        with pytest.raises(ValueError):
+            token_counts.write_flat(table, empty, end_id=end)
 
 
 def test_repair_round_trip_and_random_access(spark, docs):
