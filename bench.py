@@ -51,8 +51,8 @@ def _sf_value(path: str):
 
 def main() -> None:
     from triplake.session import build_session
-    from triplake.plans import fixtures as fx
-    from triplake.plans.catalog import QUERIES
+    from ridelens import fixtures as fx
+    from ridelens.catalog import QUERIES
 
     # optional extra settings, e.g. BENCH_DRIVER_MEMORY=4g (default heap otherwise)
     import tempfile
@@ -95,7 +95,7 @@ def main() -> None:
     from pyspark.sql import functions as F
     from triplake.session import scratch_path
     from triplake.sources import bus
-    from triplake.sources.lens import LENS_CONFIG
+    from ridelens.lens import LENS_CONFIG
     from triplake.streaming import bronze_stream
     messages = spark.read.parquet(fx.topic(spark, SF_DIR)).agg(F.count(F.lit(1))).first()[0]
     root = scratch_path(spark, "bench-stream")

@@ -375,6 +375,7 @@ _Q = {
         is_peak_hour AS "IS_PEAK_HOUR", event_date AS "EVENT_DATE" FROM o_hourly""",
     # ---------------------------------------------------------------- Gold
     "seed_load": "SELECT driver_id, driver_name, rating, home_zone, primary_vehicle, joined_date FROM o_dim_driver",
+    "seed_load_riders": "SELECT rider_id, rider_name, segment, signup_date FROM o_dim_rider",
     "stg_rides": """SELECT ride_id, rider_id, driver_id, lower(vehicle_type) AS vehicle_type, city,
         event_date AS ride_date, ride_duration_min AS duration_min, distance_km, fare_amount, paid_amount,
         payment_method FROM o_raw_rides WHERE ride_id IS NOT NULL""",

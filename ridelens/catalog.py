@@ -13,6 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridelens import fixtures as fx
+from ridelens import lens
+from ridelens.lens import LENS_CONFIG, LENS_STRICT_CONFIG
 from triplake.operators import bi as BI
 from triplake.operators import bronze as B
 from triplake.operators import gold as G
@@ -20,15 +23,12 @@ from triplake.operators import quality as Q
 from triplake.operators import raw as R
 from triplake.operators import silver as S
 from triplake.operators import verify as V
-from triplake.plans import fixtures as fx
 from triplake.plans import jobs
 from triplake.plans import pipeline as P
 from triplake.schemas import ENVELOPE_SCHEMA
 from triplake.session import configure, scratch_path
 from triplake.sources import bus
 from triplake.sources import lake as src
-from triplake.sources import lens
-from triplake.sources.lens import LENS_CONFIG, LENS_STRICT_CONFIG
 from triplake.streaming import bronze_stream
 
 ONE_DAY = "2024-01-05"
@@ -223,6 +223,10 @@ def seed_load(spark, sf):
     return src.read_seed_drivers(spark, fx.bronze_lake(spark, sf).seed_drivers)
 
 
+def seed_load_riders(spark, sf):
+    return src.read_seed_riders(spark, fx.bronze_lake(spark, sf).seed_riders)
+
+
 def _raw(spark, sf, t):
     return jobs.read_raw(spark, fx.gold_lake(spark, sf), t)
 
@@ -409,7 +413,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         silver_hourly_demand, silver_peak_hour, silver_daily_one_day, silver_overwrite_one_day,
         silver_empty_day_noop,
         raw_rides, raw_upper_columns, raw_daily_load, raw_hourly_load,
-        seed_load, stg_rides, stg_daily_city_metrics, stg_hourly_demand,
+        seed_load, seed_load_riders, stg_rides, stg_daily_city_metrics, stg_hourly_demand,
         dim_driver, dim_rider, fct_rides, fct_daily_city_metrics, fct_hourly_demand,
         test_unique, test_not_null, test_accepted_values, test_fct_rides_relationships,
         dq_bronze, dq_silver, dq_report, dq_gate_verdict,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from triplake.plans import jobs
 from triplake.session import configure, scratch_path
-from triplake.sources import lens
+from ridelens import lens
 
 _DONE: dict[tuple, jobs.LakePaths] = {}
 

@@ -10,7 +10,7 @@ pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables ab
 
 def test_every_query_has_an_oracle():
     import __spark_entry__ as E
-    from triplake.plans.catalog import QUERIES
+    from ridelens.catalog import QUERIES
     assert set(QUERIES) <= set(E.queries()) and set(QUERIES) <= set(E.oracle_sql())
     assert set(E.oracle_sql()) <= set(E.queries()) and len(QUERIES) >= 50
 
@@ -24,9 +24,9 @@ def test_entry_runs(spark):
 
 def test_lens_counts_match_fixtures(spark):
     from pyspark.sql import functions as F
-    from triplake.plans import fixtures as fx
+    from ridelens import fixtures as fx
     from triplake.operators import bronze as B
-    from triplake.sources.lens import LENS_CONFIG
+    from ridelens.lens import LENS_CONFIG
 
     env = fx.envelopes(spark, SF)
     assert env.count() == 4655
@@ -47,7 +47,7 @@ def duck():
 
 
 def _names():
-    from triplake.plans.catalog import QUERIES
+    from ridelens.catalog import QUERIES
     return sorted(QUERIES)
 
 

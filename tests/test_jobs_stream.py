@@ -142,6 +142,27 @@ def test_pipeline_registers_layers_by_name(spark, raw_frame, tmp_lake):
     assert {"raw", "staging", "gold"} <= names
 
 
+def test_staging_views_and_seeds_are_visible_to_other_sessions(spark, raw_frame, tmp_lake):
+    from triplake.operators import gold as G
+    from triplake.plans import pipeline as P
+    paths = jobs.LakePaths(tmp_lake)
+    _land(raw_frame, paths, _ride(1, 1) + _ride(2, 2))
+    _seeds(spark, paths)
+    P.run_daily(spark, paths, None)
+    other = spark.newSession()
+    raw = spark.table("raw.rides")
+    want = G.stg_rides(raw.toDF(*[c.lower() for c in raw.columns]))
+    got = other.table("staging.stg_rides")
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
+    assert other.table("staging.stg_hourly_demand").columns[0] == "demand_date"
+    assert other.table("staging.stg_daily_city_metrics").count() == 2
+    for name, path, read in (("drivers", paths.seed_drivers, src.read_seed_drivers),
+                             ("riders", paths.seed_riders, src.read_seed_riders)):
+        seed = read(spark, path)
+        got = other.table(f"gold.seed_{name}")
+        assert got.dtypes == seed.dtypes and sorted(got.collect()) == sorted(seed.collect())
+
+
 def test_cli_gate_exit_codes(spark, raw_frame, tmp_lake, capsys):
     from triplake import cli
     paths = jobs.LakePaths(tmp_lake)

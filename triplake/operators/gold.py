@@ -9,41 +9,29 @@ from triplake.functions import half_up_ratio
 
 
 # -- staging ---------------------------------------------------------------- #
+# Output columns of the staging models, as expressions over the RAW tables; the views in the catalog are made of the same.
+STG_RIDES = ["ride_id", "rider_id", "driver_id", "lower(vehicle_type) AS vehicle_type", "city",
+             "cast(event_date AS date) AS ride_date", "cast(ride_duration_min AS double) AS duration_min",
+             "cast(distance_km AS double) AS distance_km", "cast(fare_amount AS double) AS fare_amount",
+             "cast(paid_amount AS double) AS paid_amount", "payment_method"]
+STG_RIDES_ROWS = "ride_id IS NOT NULL"
+STG_DAILY = ["cast(event_date AS date) AS metric_date", "city", "cast(total_rides AS bigint) AS total_rides",
+             "cast(avg_duration_min AS double) AS avg_duration_min", "cast(revenue_pkr AS double) AS revenue_pkr",
+             "cast(paid_rides AS bigint) AS paid_rides"]
+STG_HOURLY = ["cast(event_date AS date) AS demand_date", "city", "cast(hour AS int) AS hour_of_day",
+              "cast(ride_requests AS bigint) AS ride_requests", "cast(is_peak_hour AS boolean) AS is_peak_hour"]
+
+
 def stg_rides(raw_rides: DataFrame) -> DataFrame:
-    return raw_rides.filter(F.col("ride_id").isNotNull()).select(
-        "ride_id",
-        "rider_id",
-        "driver_id",
-        F.lower(F.col("vehicle_type")).alias("vehicle_type"),
-        "city",
-        F.col("event_date").cast("date").alias("ride_date"),
-        F.col("ride_duration_min").cast("double").alias("duration_min"),
-        F.col("distance_km").cast("double").alias("distance_km"),
-        F.col("fare_amount").cast("double").alias("fare_amount"),
-        F.col("paid_amount").cast("double").alias("paid_amount"),
-        "payment_method",
-    )
+    return raw_rides.where(STG_RIDES_ROWS).selectExpr(*STG_RIDES)
 
 
 def stg_daily_city_metrics(raw_daily: DataFrame) -> DataFrame:
-    return raw_daily.select(
-        F.col("event_date").cast("date").alias("metric_date"),
-        "city",
-        F.col("total_rides").cast("long").alias("total_rides"),
-        F.col("avg_duration_min").cast("double").alias("avg_duration_min"),
-        F.col("revenue_pkr").cast("double").alias("revenue_pkr"),
-        F.col("paid_rides").cast("long").alias("paid_rides"),
-    )
+    return raw_daily.selectExpr(*STG_DAILY)
 
 
 def stg_hourly_demand(raw_hourly: DataFrame) -> DataFrame:
-    return raw_hourly.select(
-        F.col("event_date").cast("date").alias("demand_date"),
-        "city",
-        F.col("hour").cast("int").alias("hour_of_day"),
-        F.col("ride_requests").cast("long").alias("ride_requests"),
-        F.col("is_peak_hour").cast("boolean").alias("is_peak_hour"),
-    )
+    return raw_hourly.selectExpr(*STG_HOURLY)
 
 
 # -- dimensions ------------------------------------------------------------- #

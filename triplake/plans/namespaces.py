@@ -2,8 +2,9 @@
 
 Namespaces are created with an explicit location under the lake root, so
 the catalog never falls back to a machine-local warehouse folder. Tables
-are registered as external parquet tables over the layer folders; staging
-models are temporary views over ``raw.*`` (views, like the source).
+are registered as external tables over the layer folders (seeds as CSV
+tables beside Gold); staging models are catalog views ``staging.stg_*``
+over ``raw.*``, which other sessions of the catalog see too.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from triplake.operators import gold as G
 from triplake.plans import jobs
+from triplake.schemas import SEED_DRIVERS_SCHEMA, SEED_RIDERS_SCHEMA
 
 RAW_TABLES = {"rides": "raw_rides", "silver_daily_city_metrics": "raw_daily",
               "silver_hourly_demand": "raw_hourly"}
@@ -32,8 +34,8 @@ def _refuse_managed(spark: SparkSession, name: str, path: str) -> None:
                          "drop or rename it before registering")
 
 
-def _register(spark: SparkSession, name: str, path: str, schema=None) -> None:
-    """External parquet table over ``path``.
+def _register(spark: SparkSession, name: str, path: str, schema=None, source: str = "parquet", **options: str) -> None:
+    """External table over ``path``.
 
     With the schema the writer just used, nothing is inferred and date
     folders are discovered (and pruned) by the file index at read time;
@@ -44,9 +46,9 @@ def _register(spark: SparkSession, name: str, path: str, schema=None) -> None:
         # dropping an external table only forgets it, the files stay
         spark.sql(f"DROP TABLE {name}")
     if schema is not None:
-        spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
+        spark.catalog.createTable(name, path=path, source=source, schema=schema, **options)
         return
-    spark.catalog.createTable(name, path=path, source="parquet")
+    spark.catalog.createTable(name, path=path, source=source, **options)
     if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
 
@@ -61,16 +63,25 @@ def register_gold(spark: SparkSession, paths: jobs.LakePaths, schemas: dict | No
         _register(spark, f"gold.{m}", getattr(paths, f"gold_{m}"), (schemas or {}).get(m))
 
 
+def register_seeds(spark: SparkSession, paths: jobs.LakePaths) -> None:
+    """``gold.seed_drivers`` and ``gold.seed_riders`` over the seed CSV folders, with their declared types."""
+    for name, path, schema in (("seed_drivers", paths.seed_drivers, SEED_DRIVERS_SCHEMA),
+                               ("seed_riders", paths.seed_riders, SEED_RIDERS_SCHEMA)):
+        _register(spark, f"gold.{name}", path, schema, source="csv", header="true", enforceSchema="false", mode="FAILFAST")
+
+
 def register_staging_views(spark: SparkSession) -> dict[str, DataFrame]:
-    """Staging models as temporary views named ``stg_*`` over ``raw.*``."""
-    lower = lambda t: spark.table(t).toDF(*[c.lower() for c in spark.table(t).columns])
-    views = {
-        "stg_rides": G.stg_rides(lower("raw.rides")),
-        "stg_daily_city_metrics": G.stg_daily_city_metrics(lower("raw.silver_daily_city_metrics")),
-        "stg_hourly_demand": G.stg_hourly_demand(lower("raw.silver_hourly_demand")),
+    """Staging models as catalog views ``staging.stg_*`` over ``raw.*``, and by their short names in this session."""
+    models = {
+        "stg_rides": (G.STG_RIDES, f"raw.rides WHERE {G.STG_RIDES_ROWS}"),
+        "stg_daily_city_metrics": (G.STG_DAILY, "raw.silver_daily_city_metrics"),
+        "stg_hourly_demand": (G.STG_HOURLY, "raw.silver_hourly_demand"),
     }
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
+    views = {}
+    for name, (columns, rows) in models.items():
+        spark.sql(f"CREATE OR REPLACE VIEW staging.{name} AS SELECT {', '.join(columns)} FROM {rows}")
+        views[name] = spark.table(f"staging.{name}")
+        views[name].createOrReplaceTempView(name)
     return views
 
 
@@ -78,4 +89,5 @@ def register_all(spark: SparkSession, paths: jobs.LakePaths) -> None:
     ensure_namespaces(spark, paths)
     register_raw(spark, paths)
     register_gold(spark, paths)
+    register_seeds(spark, paths)
     register_staging_views(spark)

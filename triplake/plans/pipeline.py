@@ -90,6 +90,7 @@ def tested_gold(spark: SparkSession, paths: jobs.LakePaths, cfg: LakeConfig, rep
         return tests
     schemas.update(jobs.build_gold(spark, paths, models=FACTS))
     ns.register_gold(spark, paths, schemas)
+    ns.register_seeds(spark, paths)
     rep.add("gold_facts", "ok")
     tests += Q.fact_tests(jobs.read_gold(spark, paths), cfg).collect()
     rep.failed_tests = _failures(tests)

@@ -1 +1 @@
-"""Readers: the lake's own layers, seed files, the event bus, and the test lens."""
+"""Readers: the lake's own layers, seed files and the event bus."""
