@@ -308,6 +308,32 @@ def test_pseudonyms_are_valid_linked_and_reversible():
     assert text == "at 4111 1111 1111 1112 or 999.1.1.1 or 2024-02-30" and not found
 
 
+def test_values_side_by_side_are_each_found():
+    p = pii_pseudonyms.Permutation(b"k")
+    r = random.Random(6)
+    one = {"ssn": lambda: f"{r.randint(100, 599)}-{r.randint(10, 99)}-{r.randint(1000, 9999)}",
+           "date": lambda: f"20{r.randint(10, 24)}-0{r.randint(1, 9)}-{r.randint(10, 28)}",
+           "phone": lambda: f"{r.randint(200, 999)}-555-{r.randint(1000, 9999)}",
+           "card": lambda: next(c for c in iter(lambda: f"4111 {r.randint(1000, 9999)} {r.randint(1000, 9999)} {r.randint(1000, 9999)}", "")
+                                if pii_pseudonyms.luhn(c.replace(" ", "")))}
+    for _ in range(400):
+        kinds = [r.choice(list(one)) for _ in range(r.randint(1, 5))]
+        values = [one[k]() for k in kinds]
+        new, found = pii_pseudonyms.pseudonymise("row " + " ".join(values) + " end", p)
+        assert new == "row " + " ".join(pii_pseudonyms.pseudonym(k, v, p) for k, v in zip(kinds, values)) + " end", values
+        assert found == collections.Counter(kinds)
+    for values in (["2024-01-15-2024-02-20", "date", "-"], ["2024-01-15/2024-02-20", "date", "/"], ["310 555 4510,310 555 4511", "phone", ","],
+                   ["BE68 5390 0754 7034,BE68 5390 0754 7034", "iban", ","], ["4111 1111 1111 1111,5500 0000 0000 0004", "card", ","]):
+        text, kind, mark = values
+        both = [text[:len(text) // 2], text[len(text) // 2 + 1:]]
+        joined = mark if mark != "," else " "
+        new, found = pii_pseudonyms.pseudonymise(joined.join(both), p)
+        assert new == joined.join(pii_pseudonyms.pseudonym(kind, v, p) for v in both) and found == {kind: 2}
+    for text in ("4111 1111 1111 1112 2010 2011 2012 2013", "7 4111 1111 1111 1111 123"):
+        new, found = pii_pseudonyms.pseudonymise(text, p)
+        assert found["phone"] == 0 and found["card"] == (1 if "123" in text else found["card"])
+
+
 def test_mixing_meets_targets_and_learns(spark):
     r = random.Random(3)
     data = []

@@ -5,6 +5,10 @@ Found values are validated first (check digits, calendar, ranges); each is a num
 walked until its result is in the set again, permutes that set, so a pseudonym is valid, has its value's form, is
 reversible with the key, and two equal values get the same one wherever they stand, however they are punctuated.
 
+Values that stand side by side (a row of a table, a list) may look like one: all ways to read such a run are compared, and
+only valid values count. Phone numbers have no check digit, so digits that blanks cut evenly (``4111 1111 1111 1112``)
+are not taken for one where more such digits follow.
+
 Defined results: null text stays null; texts without personal data stay as they are; repeated rows are treated each; an
 empty table gives an empty table; other columns are not read.
 """
@@ -13,6 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import heapq
 import re
 from collections import Counter
 from functools import lru_cache
@@ -40,6 +45,17 @@ PATTERN = re.compile(r"""
   | (?P<date>(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\w/-]))
   | (?P<phone>(?<![\w.+-])(?:\+\d{1,3}[\x20.-]?)?(?:\(\d{2,4}\)|\d{2,4})(?:[\x20.-]\d{2,4}){2,4}(?![\w-]))
 """, re.VERBOSE | re.ASCII)
+# Each kind by itself: as in PATTERN, and without what may not stand around it (a neighbour that is a value too may).
+STRICT = {kind: re.compile(x.strip(), re.VERBOSE | re.ASCII) for kind, x in zip(KINDS, re.split(r"\n  \| ", PATTERN.pattern))}
+FORMS = {kind: re.compile(re.sub(r"\(\?(?:<!|!)(?:\[[^]]*\]|\\w)(?:\|\\.\\d)?\)", "", x.pattern) if kind != "email" else x.pattern, re.VERBOSE | re.ASCII)
+         for kind, x in STRICT.items()}
+BEFORE = {kind: re.compile(x, re.ASCII) for kind, x in zip(KINDS, (r"[\w.+-]", r"\w", r"[\w.-]", r"[\w.-]", r"[\w.]", r"[\w./-]", r"[\w.+-]"))}
+AFTER = {kind: re.compile(x, re.ASCII) for kind, x in zip(KINDS, (r"(?!)", r"\w", r"[\w-]", r"[\w-]", r"\w|\.\d", r"[\w/-]", r"[\w-]"))}
+_WORD = re.compile(r"\w", re.ASCII)
+START = re.compile(r"(?<!\w)[A-Za-z0-9+(]", re.ASCII)
+# What may precede a phone number's own digits; digits that follow over single marks (values side by side are read together).
+LEAD = re.compile(r"(?:\+\d{1,3}[\x20.-]?)?(?:\(\d{2,4}\)[\x20.-]?)?", re.ASCII)
+JOINED = re.compile(r"(?:[\x20./-]?[+(]{0,2}\d++\)?)*", re.ASCII)
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 _LOCAL = "abcdefghijklmnopqrstuvwxyz0123456789"
 
@@ -171,24 +187,105 @@ def pseudonym(kind: str, s: str, p: Permutation, back: bool = False) -> str | No
     return _refit(s, digits[:keep] + new)
 
 
+def _read(text: str, s: int, p: Permutation) -> tuple[list[tuple], int]:
+    """Valid values that start at ``s``, as (start, end, kind, pseudonym, start stands free, end stands free), and how far any form reaches."""
+    found, reach = [], s
+    for kind, form in FORMS.items():
+        m = form.match(text, s)
+        if m is None or (s and _WORD.match(text[s - 1])):
+            continue
+        reach = max(reach, m.end())
+        bounds = range(m.end(), m.end() - 1, -1) if kind == "email" else range(m.end(), s, -1)
+        strict = STRICT[kind].match(text, s)
+        for e in bounds:
+            if _WORD.match(text, e) or not _WORD.match(text[e - 1]) or not form.fullmatch(text, s, e):
+                continue
+            new = pseudonym(kind, text[s:e], p)
+            if new is None:
+                continue
+            found.append((s, e, kind, new, BEFORE[kind].match(text[s - 1:s]) is None,
+                          AFTER[kind].match(text, e) is None and (kind != "phone" or _apart(text, s, e, e) or strict is not None and strict.end() == e)))
+    return found, reach
+
+
+def _apart(text: str, s: int, e: int, edge: int) -> bool:
+    """Whether a phone number's edge is no mark that also stands between its own digits with more digits behind."""
+    mark, digit = (text[e:e + 1], text[e + 1:e + 2]) if edge == e else (text[max(s - 1, 0):s], text[max(s - 2, 0):max(s - 1, 0)])
+    return not digit.isdigit() or mark not in re.sub(r"[\d()+]", "", text[s:e])
+
+
+def _shape(value: str) -> tuple[int, ...]:
+    return tuple(len(x) for x in re.findall(r"\d+", value))
+
+
+def _values(text: str, a: int, p: Permutation) -> tuple[list[tuple], int]:
+    """The values of the run of adjacent forms that starts at ``a``, and the run's end.
+
+    Of all ways to read the run the one with most characters in kinds of a strict form wins, then in cards and phone numbers
+    of one punctuation, then in any; then several values go before one card and a card before a phone number. Where a value touches digits
+    over a mark of its own (a phone number a blank, a date a hyphen), a value must stand there too.
+    """
+    run, at, by_end = a, a, {}
+    free, waiting = ((0, 0, 0, 0), None), []
+    while (m := START.search(text, at)) and (m.start() <= a or m.start() < run):
+        s = m.start()
+        at = s + 1
+        found, reach = _read(text, s, p)
+        if max(reach, m.end()) > run:
+            run = JOINED.match(text, max(reach, m.end())).end()
+        while waiting and waiting[0][0] <= s:
+            _, _, chain = heapq.heappop(waiting)
+            free = max(free, chain, key=lambda x: x[0])
+        for value in found:
+            _, e, kind, _, left, right = value
+            left &= kind != "phone" or s == a or _apart(text, s, e, s)
+            size = sum(c.isalnum() for c in text[s:e])
+            loose = kind in ("card", "phone")
+            even = loose and len(set(re.sub(r"\d", "", LEAD.sub("", text[s:e], count=1)))) < 2
+            own = (0 if loose else size, size if even else 0, size, {"card": 4, "phone": 3}.get(kind, 6))
+            before = [free] if left else []
+            for chain in by_end.get(s - 1, ()):
+                last = chain[1][0]
+                if left and last[5] or _side_by_side(text, last, value):
+                    before.append(chain)
+            if not before:
+                continue
+            score, last = max(before, key=lambda x: x[0])
+            chain = (tuple(x + y for x, y in zip(score, own)), (value, last))
+            by_end.setdefault(e, []).append(chain)
+            if right:
+                heapq.heappush(waiting, (e, s, chain))
+    free = max([free, *(x[2] for x in waiting)], key=lambda x: x[0])
+    out, link = [], free[1]
+    while link:
+        out.append(link[0])
+        link = link[1]
+    return out[::-1], max(run, a + 1)
+
+
+def _side_by_side(text: str, x: tuple, y: tuple) -> bool:
+    """Whether y may follow x though one of them touches the other's digits; of two phone numbers the first must be whole or alike."""
+    if x[2] != "phone" or y[2] != "phone":
+        return True
+    one, two = _shape(text[x[0]:x[1]]), _shape(text[y[0]:y[1]])
+    return x[5] or one == two and len(set(one)) > 1
+
+
 def pseudonymise(text: str, p: Permutation) -> tuple[str, Counter]:
     """The text with each valid value replaced, and how many of each kind were."""
     counts: Counter = Counter()
-
-    def swap(m: re.Match) -> str:
-        kind = m.lastgroup
-        new = pseudonym(kind, m.group(), p)
-        if new is None and kind in ("card", "ssn", "date", "ip") and PHONE.fullmatch(m.group()):
-            kind, new = "phone", pseudonym("phone", m.group(), p)
-        if new is None:
-            return m.group()
-        counts[kind] += 1
-        return new
-
-    return PATTERN.sub(swap, text), counts
-
-
-PHONE = re.compile(r"(?:\+\d{1,3}[\x20.-]?)?(?:\(\d{2,4}\)|\d{2,4})(?:[\x20.-]\d{2,4}){2,4}", re.ASCII)
+    out, done, at = [], 0, 0
+    while m := PATTERN.search(text, at):
+        if m.lastgroup == "email":
+            values, at = [(*m.span(), "email", pseudonym("email", m.group(), p))], m.end()
+        else:
+            values, at = _values(text, m.start(), p)
+        for s, e, kind, new, *_ in values:
+            out += [text[done:s], new]
+            done = e
+            counts[kind] += 1
+        at = max(at, done)
+    return "".join([*out, text[done:]]), counts
 
 
 def pii_pseudonyms(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
