@@ -289,6 +289,21 @@ def test_near_duplicates_in_a_large_group(spark):
     assert {r.doc_id: r.component_id for r in got} == label
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Rows that share an id or have none are decided each."""
+    def near(seed):
+        return prose(seed, 120), prose(seed, 120) + " end"
+    (a, a2), (f, f2), (g, g2), (h, h2), (k, k2) = (near(x) for x in range(20, 25))
+    b, c, d = (prose(x, 90) for x in (30, 31, 32))
+    data = [(1, a), (None, a2), (None, b), (None, c), (5, d), (5, f2), (4, f), (None, g), (None, g2), (7, h), (7, h), (7, h2),
+            (8, k), (8, k2), (9, None), (9, None), (None, ""), (None, "")]
+    got = minhash_dedup.one_of_each(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()
+    rest = collections.Counter(map(tuple, got))
+    for group in ([(None, g), (None, g2)], [(7, h), (7, h2)], [(8, k), (8, k2)]):
+        assert sum(rest.pop(x, 0) for x in group) == 1, group
+    assert rest == {(1, a): 1, (None, b): 1, (None, c): 1, (5, d): 1, (4, f): 1, (9, None): 2, (None, ""): 2}
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(1, 40)] + [(100, 101), (200, 100), (7, 7)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -94,7 +94,8 @@ def parity_sketches(h: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _described(df: DataFrame) -> DataFrame:
-    """(row_id, doc_id, text_hash, n_shingles, set_a, set_b, signature) of every row."""
+    """(row_id, doc_id, text_hash, n_shingles, set_a, set_b, signature) and any further longs of every row."""
+    more = [c for c in df.columns if c not in ("doc_id", "text", "text_hash")]
 
     def scan(batches):
         serial = TaskContext.get().partitionId() << 33
@@ -116,12 +117,12 @@ def _described(df: DataFrame) -> DataFrame:
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(serial + np.arange(j - i)), part.column("doc_id"), part.column("text_hash"), pa.array(n),
-                     *(pa.array(s.view(np.int64)) for s in sums), signature],
-                    names=["row_id", "doc_id", "text_hash", "n_shingles", "set_a", "set_b", "signature"])
+                     *(pa.array(s.view(np.int64)) for s in sums), signature, *(part.column(c) for c in more)],
+                    names=["row_id", "doc_id", "text_hash", "n_shingles", "set_a", "set_b", "signature", *more])
                 serial += j - i
 
     return store.map_arrow(df, scan, "row_id long, doc_id long, text_hash long, n_shingles long, set_a long, set_b long, "
-                                     "signature array<int>")
+                                     "signature array<int>" + "".join(f", {c} long" for c in more))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -166,8 +167,18 @@ def _matching(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: (doc_id, n_shingles, component_id, kept)."""
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                     F.xxhash64(F.col(text_col)).alias("text_hash"))
+    own = _grouped(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                             F.xxhash64(F.col(text_col)).alias("text_hash")))
+    component = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return own.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (doc_id, text, text_hash, further longs) without text: n_shingles, component and its least doc_id.
+
+    Rows without shingles are linked with nothing: their component is null.
+    """
     rows = store.written(_described(docs), "minhash-rows")
     sets = rows.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(
         F.min(F.struct("row_id", F.coalesce("doc_id", F.lit(int(NO_ID))).alias("doc_key"), "text_hash")).alias("r"),
@@ -214,11 +225,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = sets.select("set_a", "set_b", "n_shingles", "least_id", F.col("row_id").alias("id")).join(labels, "id", "left")
     found = found.withColumn("component", F.coalesce("component", "id"))
     least = found.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    found = found.join(least, "component").select("set_a", "set_b", F.col("n_shingles").alias("n"), "component_id")
+    found = found.join(least, "component").select("set_a", "set_b", F.col("n_shingles").alias("n"), "component", "component_id")
     own = rows.join(found, (rows.set_a == found.set_a) & (rows.set_b == found.set_b) & (rows.n_shingles == found.n), "left")
-    component = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return own.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return own.select(*(c for c in docs.columns if c != "text"), "n_shingles", "component", "component_id")
 
 
 def _undecided(postings: DataFrame) -> DataFrame:
@@ -301,9 +310,31 @@ def _joined(labels: DataFrame | None, links: DataFrame) -> tuple[DataFrame, bool
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` without the documents of a group of near copies other than the one with the smallest id."""
-    dropped = store.written(near_duplicates(df, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_dropped")), "near-copies")
-    return df.join(store.maybe_broadcast(dropped), F.col(id_col).cast("long").eqNullSafe(F.col("_dropped")), "left_anti")
+    """``df`` with exactly one row of each group of near copies: the one with the smallest id.
+
+    A row is known by its id and the 128-bit hash of its text, so rows that share an id (or have none) are decided each;
+    of equal ids the smallest hash stays, of rows equal in both any one. Rows without shingles all stay.
+    """
+    key = {"_id": F.col(id_col).cast("long"), "_h": F.xxhash64(F.col(text_col)), "_g": F.xxhash64(F.lit(1), F.col(text_col))}
+    docs = df.select(key["_id"].alias("doc_id"), F.col(text_col).alias("text"), key["_h"].alias("text_hash"), key["_g"].alias("text_hash2"))
+    rows = store.written(_grouped(docs).where("component IS NOT NULL").select(
+        "component", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "text_hash2").alias("r")), "near-rows")
+    groups = rows.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min("r").alias("first")).where("n > 1").drop("n")
+    copies = rows.join(store.maybe_broadcast(store.written(groups, "near-groups")), "component")
+    copies = copies.groupBy("r").agg(F.count(F.lit(1)).alias("n"), F.first(F.col("r") == F.col("first")).alias("stays"))
+    copies = store.written(copies.select(F.col("r.doc_id").alias("_own_id"), F.col("r.text_hash").alias("_own_h"),
+                                         F.col("r.text_hash2").alias("_own_g"), "n", "stays"), "near-copies")
+
+    def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        on = left["_id"].eqNullSafe(right["_own_id"]) & (left["_h"] == right["_own_h"]) & (left["_g"] == right["_own_g"])
+        return left.join(store.maybe_broadcast(right), on, how)
+
+    keyed = df.withColumns(key)
+    repeated = copies.where("stays AND n > 1").drop("n", "stays")
+    if repeated.isEmpty():
+        return joined(keyed, copies.where("NOT stays").drop("n", "stays"), "left_anti").select(*df.columns)
+    rest = joined(keyed, copies.where("NOT stays OR n > 1").drop("n", "stays"), "left_anti")
+    return rest.unionByName(joined(keyed, repeated, "left_semi").dropDuplicates(list(key))).select(*df.columns)
 
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
