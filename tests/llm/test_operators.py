@@ -364,3 +364,18 @@ def test_mixing_meets_targets_and_learns(spark):
     assert (got.rate >= 0).all() and (got[got.kind == 0].copies >= 1).all() and (got[got.kind == 2].copies == 0).all()
     total = got.n_tokens.sum()
     assert abs((got.rate * got.n_tokens * got.p_clean).sum() / total - source_mixing.TARGET_WEIGHTS["clean"]) < 0.02
+
+
+def test_copies_go_to_the_row_they_were_computed_for(spark):
+    r = random.Random(8)
+    data = []
+    for k in range(400):
+        kind = 2 if k % 10 == 0 else 1 if k % 10 == 1 else 0
+        w = [f"w{r.randrange(300)}" + ("###" if kind == 1 else "") for _ in range(60)] + (["vileword"] * 3 if kind == 2 else [])
+        data.append((k if k < 200 else None if k < 300 else 1000 + k // 20, " ".join(w), kind))
+    frame = spark.createDataFrame(data, "doc_id long, text string, kind int")
+    labels = frame.where("doc_id < 200").selectExpr("doc_id", "int(kind != 1) AS quality", "int(kind = 2) AS toxic")
+    got = collections.Counter(x.text for x in source_mixing.mixed_documents(frame, labels).collect())
+    plan = source_mixing.source_mixing(frame, labels).collect()
+    assert sum(got.values()) == sum(x.copies for x in plan)
+    assert all(got[t] >= 1 for _, t, kind in data if kind == 0) and not any(got[t] for _, t, kind in data if kind == 2)

@@ -84,16 +84,17 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, least_
 
 
 def posteriors(docs: DataFrame, model: DataFrame, prior: list[float]) -> DataFrame:
-    """(row_id, doc_id, n_tokens, p0, p1, p2) of every row of ``docs`` (doc_id, text)."""
+    """(row_id, doc_id, n_tokens, p0, p1, p2) of every row of ``docs`` (doc_id, text), and what other columns it has."""
+    own = ["row_id", "doc_id", "n_tokens", *(c for c in docs.columns if c not in ("doc_id", "text"))]
     rows = docs.withColumn("row_id", F.monotonically_increasing_id()).withColumn(
         "n_tokens", F.coalesce(F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")), F.lit(0)).cast("long"))
-    each = _buckets(rows, "row_id", "doc_id", "n_tokens").join(F.broadcast(model), "bucket", "left")
-    scored = each.groupBy("row_id", "doc_id", "n_tokens").agg(
+    each = _buckets(rows, *own).join(F.broadcast(model), "bucket", "left")
+    scored = each.groupBy(*own).agg(
         *((F.lit(prior[k]) + F.coalesce(F.sum(f"w{k}"), F.lit(0.0))).alias(f"l{k}") for k in range(len(DOMAINS))))
     top = F.greatest(*(F.col(f"l{k}") for k in range(len(DOMAINS))))
-    scored = scored.select("row_id", "doc_id", "n_tokens", *(F.exp(F.col(f"l{k}") - top).alias(f"e{k}") for k in range(len(DOMAINS))))
+    scored = scored.select(*own, *(F.exp(F.col(f"l{k}") - top).alias(f"e{k}") for k in range(len(DOMAINS))))
     mass = sum((F.col(f"e{k}") for k in range(1, len(DOMAINS))), F.col("e0"))
-    return scored.select("row_id", "doc_id", "n_tokens", *(F.round(F.col(f"e{k}") / mass, 9).alias(f"p{k}") for k in range(len(DOMAINS))))
+    return scored.select(*own, *(F.round(F.col(f"e{k}") / mass, 9).alias(f"p{k}") for k in range(len(DOMAINS))))
 
 
 def rates(points: DataFrame, weights: dict[str, float] = TARGET_WEIGHTS, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
@@ -129,21 +130,33 @@ def source_mixing(docs: DataFrame, labels: DataFrame, weights: dict[str, float]
 
     ``copies`` rounds the rate up or down by the id's hash, so its expectation is the rate.
     """
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _planned(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), labels, weights, train_docs)
+
+
+def _planned(own: DataFrame, labels: DataFrame, weights: dict[str, float], train_docs: int = TRAIN_DOCS) -> DataFrame:
+    """``source_mixing`` of ``own`` (doc_id, text), and what other columns it has."""
     model, prior = fit(own, labels, train_docs)
     fitted = rates(posteriors(own, model, prior), weights)
     chance = F.pmod(F.xxhash64("doc_id", F.lit("mixing")), F.lit(1 << 20)) / (1 << 20)
     return fitted.select("doc_id", "n_tokens", *(F.col(f"p{k}").alias(f"p_{name}") for k, name in enumerate(DOMAINS)), "rate",
-                         F.floor(F.col("rate") + chance).cast("long").alias("copies"))
+                         F.floor(F.col("rate") + chance).cast("long").alias("copies"),
+                         *(c for c in own.columns if c not in ("doc_id", "text")))
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = TARGET_WEIGHTS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """``docs`` with each row repeated (or left out) by its ``copies``; columns as they are."""
-    plan = source_mixing(docs, labels, weights, id_col, text_col)
-    changed = store.written(plan.where("copies != 1").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-                            .select(F.col("doc_id").alias("_mixed_id"), "_copies"), "mixing-copies")
-    out = docs.join(store.maybe_broadcast(changed), F.col(id_col).cast("long").eqNullSafe(F.col("_mixed_id")), "left")
+    """``docs`` with each row repeated (or left out) by its ``copies``; columns as they are.
+
+    Copies are a function of id and text, so a row takes those of its own id and 128-bit text hash.
+    """
+    key = {"_id": F.col(id_col).cast("long"), "_h": F.xxhash64(F.col(text_col)), "_g": F.xxhash64(F.lit(1), F.col(text_col))}
+    plan = _planned(docs.select(key["_id"].alias("doc_id"), F.col(text_col).alias("text"), key["_h"].alias("_own_h"), key["_g"].alias("_own_g")),
+                    labels, weights)
+    changed = store.written(plan.where("copies != 1").groupBy(F.col("doc_id").alias("_own_id"), "_own_h", "_own_g").agg(
+        F.max("copies").alias("_copies")), "mixing-copies")
+    keyed = docs.withColumns(key)
+    on = keyed["_id"].eqNullSafe(changed["_own_id"]) & (keyed["_h"] == changed["_own_h"]) & (keyed["_g"] == changed["_own_g"])
+    out = keyed.join(store.maybe_broadcast(changed), on, "left")
     times = F.array_repeat(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1)).cast("int"))
     return out.withColumn("_one", F.explode(times)).select(*docs.columns)
 
