@@ -194,6 +194,18 @@ def test_entropy_windows_match_direct_entropy():
     assert secret_scan.scan_text("key Zx9Kq2Lw7Vb4Tn8Rm3Yp6Hd1Js5Gf0 end")[1]
 
 
+def test_secrets_beside_rulers_and_alphabets_are_found():
+    key = "Zx9Kq2Lw7Vb4Tn8Rm3Yp6Hd1Js5Gf0"
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+    for filler in ("-" * 8, "=" * 40, "//////////", "AAAAAAAAA", alphabet, alphabet.upper(), "0123456789" + alphabet):
+        for text, places in ((key + filler, (0,)), (filler + key, (len(filler),)), (key + filler + key, (0, len(key + filler)))):
+            found = secret_scan.scan_text(text)[1]
+            assert [x for x in found if any(p <= x[0] and x[1] <= p + len(key) for p in places)] == found
+            assert len({p for p in places for x in found if p <= x[0] and x[1] <= p + len(key)}) == len(places), text
+    for text in (alphabet + alphabet.upper() + "0123456789+/", "0123456789abcdef" * 3, "-" * 60, "0123456789" + alphabet, "and-so-on-and-so-on" + "-" * 30 + "words"):
+        assert secret_scan.scan_text(text)[1] == [], text
+
+
 def test_exact_dedup_small_tables_and_probing(monkeypatch, spark, docs):
     want = by_content(map(tuple, exact_dedup.exact_dedup(docs).collect()))
     table = exact_dedup.ContentTable()

@@ -3,7 +3,8 @@
 Rules find assignments, access keys and long hex strings. Beyond them, every candidate string (a run of token
 characters) is scanned with a sliding window for each character class: the window's counts are updated by one character
 in and one out, and so is the sum that its entropy comes from. Windows above the class's threshold merge into spans,
-unless the string is on the allow-list (words, counters, identifiers of a known form). A text that holds no keyword and
+unless the string is on the allow-list (words, counters, identifiers of a known form); rulers and alphabets written out
+split a string, and what stands beside them is scanned. A text that holds no keyword and
 no long run of token characters, found with array operations, is done without a regular expression.
 
 Defined results: null text counts as empty (no spans); spans are code points of the whole text, the end excluded;
@@ -15,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +38,21 @@ CLASSES = (
     ("hex", "0123456789abcdefABCDEF", 3.0),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.9),
 )
-# Strings of these forms are no secrets: words, words joined by marks, numbers, UUIDs, alphabets written out.
+# Strings that are of these forms as a whole are no secrets: words, words joined by marks, numbers, UUIDs.
 ALLOW = tuple(re.compile(p) for p in (
     r"[A-Za-z]+", r"[A-Za-z]+(?:[-_/+=][A-Za-z]*)+", r"[0-9+/_=-]+",
-    r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
-    r".*(?:abcdefghij|ABCDEFGHIJ|0123456789ab|(.)\1{7}).*"))
+    r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"))
+
+
+def _onwards(start: str, letters: str) -> str:
+    """Pattern of ``start`` and as many of the letters after it as follow in their order."""
+    rest = letters[letters.index(start[-1]) + 1:]
+    return start + "".join(f"(?:{c}" for c in rest) + ")?" * len(rest)
+
+
+# Parts that no window may touch: alphabets written out and runs of one character. What stands beside them is scanned.
+FILLER = re.compile("|".join((_onwards("0123456789ab", string.ascii_lowercase), _onwards("abcdefghij", string.ascii_lowercase),
+                              _onwards("ABCDEFGHIJ", string.ascii_uppercase), r"(.)\1{7,}")))
 
 _TOKEN = np.zeros(256, bool)
 _TOKEN[[ord(c) for c in CLASSES[1][1]]] = True
@@ -90,11 +102,16 @@ def scan_text(text: str, allow: frozenset[str] = frozenset()) -> tuple[list[tupl
         s, at = m.group(), m.start()
         if s in allow or any(p.fullmatch(s) for p in ALLOW):
             continue
-        for _, characters, least in CLASSES:
-            for a, b in entropy_spans(s, characters, least):
-                piece = s[a:b]
-                if piece not in allow and not any(p.fullmatch(piece) for p in ALLOW):
-                    added.add((at + a, at + b, "entropy"))
+        cuts = [0, *(x for f in FILLER.finditer(s) for x in f.span()), len(s)]
+        for lo, hi in zip(cuts[::2], cuts[1::2]):
+            part = s[lo:hi]
+            if len(part) < WINDOW or len(part) < len(s) and (part in allow or any(p.fullmatch(part) for p in ALLOW)):
+                continue
+            for _, characters, least in CLASSES:
+                for a, b in entropy_spans(part, characters, least):
+                    piece = part[a:b]
+                    if piece not in allow and not any(p.fullmatch(piece) for p in ALLOW):
+                        added.add((at + lo + a, at + lo + b, "entropy"))
     found = sorted(x for x in added if not any(b[0] <= x[0] and x[1] <= b[1] for b in base))
     return base, found
 
