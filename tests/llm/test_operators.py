@@ -109,6 +109,19 @@ def test_suffix_dedup_against_all_positions(spark, docs):
         assert by_content(map(tuple, got.collect())) == by_content(want)
 
 
+def test_long_texts_are_cut_into_blocks(spark, docs):
+    plain = by_content(map(tuple, suffix_dedup.suffix_dedup(docs, length=60, minimiser=30).collect()))
+    for block in (60, 97, 1000):
+        assert by_content(map(tuple, suffix_dedup.suffix_dedup(docs, length=60, minimiser=30, block=block).collect())) == plain
+    n = (1 << 24) + 5000
+    data = np.random.default_rng(1).integers(97, 123, n).astype(np.uint8)
+    data[n - 1500:n - 500] = data[100:1100]
+    row, m, a, b, bucket, near = suffix_dedup.cells(data, np.array([0, n]), 400, 200)
+    assert (b - a + 1).sum() == n - 399 and (a <= b).all() and (b <= m).all() and (m - a <= 200).all() and b[-1] == n - 400
+    twice = {x.tobytes() for x in bucket[(a >= n - 1500) & (b <= n - 900)]} & {x.tobytes() for x in bucket[b <= 700]}
+    assert len(twice) >= 3
+
+
 def test_interval_expansion_finds_common_prefixes():
     r = random.Random(5)
     for _ in range(60):

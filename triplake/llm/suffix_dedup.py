@@ -38,13 +38,36 @@ LENGTH = 400
 MINIMISER = 200
 # Contexts of one bucket that go to one task; a larger bucket is cut by start offset.
 BUCKET_CONTEXTS = 2048
+# Bytes whose cells are found at once; positions in them ride in 24 bits.
+BLOCK = 1 << 20
 # Symbols of one suffix array.
 BATCH_SYMBOLS = 1 << 20
 NO_ID = np.iinfo(np.int64).min
 
 
-def cells(data: np.ndarray, off: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
-    """(row, minimiser, first start, last start, bucket, neighbourhood) of every cell; positions within the row."""
+def cells(data: np.ndarray, off: np.ndarray, length: int, k: int, block: int = BLOCK) -> tuple[np.ndarray, ...]:
+    """(row, minimiser, first start, last start, bucket, neighbourhood) of every cell; positions within the row.
+
+    A row of more than ``block`` bytes is taken in blocks of starts, each with the ``length - 1`` bytes after it. Where a
+    block's bound cuts a cell, the two parts have neighbourhoods of their own (the bound cuts the bytes too), so neither
+    counts as the other's copy.
+    """
+    if not length <= block <= 1 << 24:
+        raise ValueError("a block holds one string at least and its positions take 24 bits")
+    if len(data) <= block:
+        return _block_cells(data, off, length, k)
+    out = []
+    for r, (begin, end) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
+        step = block - length + 1
+        for at in range(begin, max(end - length + 1, begin), step):
+            to = min(at + block, end)
+            _, m, a, b, bucket, near = _block_cells(data[at:to], np.array([0, to - at]), length, k)
+            out.append((np.full(len(m), r), *(x + (at - begin) for x in (m, a, b)), bucket, near))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else tuple(np.zeros(0, np.int64) for _ in range(6))
+
+
+def _block_cells(data: np.ndarray, off: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
+    """``cells`` of at most 2**24 bytes."""
     n, w = len(data), length - k + 1
     empty = tuple(np.zeros(0, np.int64) for _ in range(6))
     if n < length:
@@ -74,14 +97,14 @@ def cells(data: np.ndarray, off: np.ndarray, length: int, k: int) -> tuple[np.nd
     return row, m - off[row], a - off[row], b - off[row], h[m].view(np.int64), near.view(np.int64)
 
 
-def _cells(docs: DataFrame, length: int, k: int) -> DataFrame:
+def _cells(docs: DataFrame, length: int, k: int, block: int) -> DataFrame:
     """(da, dh, at, bucket, near): ``at`` packs the minimiser's position and the distances back to the cell's bounds."""
 
     def scan(batches):
         for batch in batches:
             data, off = ta.flat(batch.column("text"))
             for i, j in ta.pieces(off):
-                row, m, a, b, bucket, near = cells(data[off[i]:off[j]], off[i:j + 1] - off[i], length, k)
+                row, m, a, b, bucket, near = cells(data[off[i]:off[j]], off[i:j + 1] - off[i], length, k, block)
                 rows = pa.array(i + row)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("da").take(rows), batch.column("dh").take(rows), pa.array((m << 24) | ((m - a) << 12) | (m - b)),
@@ -223,9 +246,10 @@ def _searched(contexts: DataFrame, length: int, k: int) -> DataFrame:
     return store.map_arrow(dealt.select("bucket", "da", "dh", "at", "n", "left", "right"), scan, "da long, dh long, lo long, hi long")
 
 
-def repeated_runs(docs: DataFrame, length: int = LENGTH, k: int = MINIMISER, bucket_contexts: int = BUCKET_CONTEXTS) -> DataFrame:
+def repeated_runs(docs: DataFrame, length: int = LENGTH, k: int = MINIMISER, bucket_contexts: int = BUCKET_CONTEXTS,
+                  block: int = BLOCK) -> DataFrame:
     """(da, dh, lo, hi): runs of starts of repeated strings in the texts of ``docs`` (da, dh, text)."""
-    found = _cells(docs, length, k)
+    found = _cells(docs, length, k, block)
     buckets = found.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("near").alias("x"), F.max("near").alias("y")).where("n > 1")
     shared = store.written(found.join(buckets.select("bucket", (F.col("x") != F.col("y")).alias("differ")), "bucket"), "suffix-cells")
     lo, hi = F.shiftright("at", 24) - F.shiftright("at", 12).bitwiseAND(F.lit(4095)), F.shiftright("at", 24) - F.col("at").bitwiseAND(F.lit(4095))
@@ -252,11 +276,11 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, k: int = MINIMISER, buc
 
 
 def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                 minimiser: int = MINIMISER, bucket_contexts: int = BUCKET_CONTEXTS, with_text: bool = False) -> DataFrame:
+                 minimiser: int = MINIMISER, bucket_contexts: int = BUCKET_CONTEXTS, with_text: bool = False, block: int = BLOCK) -> DataFrame:
     """One row per document: (doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept])."""
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("da", F.coalesce("doc_id", F.lit(int(NO_ID)))).withColumn("dh", F.xxhash64("text"))
-    runs = store.written(repeated_runs(rows.select("da", "dh", "text"), length, minimiser, bucket_contexts), "suffix-runs")
+    runs = store.written(repeated_runs(rows.select("da", "dh", "text"), length, minimiser, bucket_contexts, block), "suffix-runs")
     runs = runs.groupBy("da", "dh").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))  # at most the text's own starts
     marked = store.maybe_broadcast(store.written(runs.select("da", "dh"), "suffix-docs"))
     rows = rows.select("doc_id", "da", "dh", F.col("text").cast("binary").alias("text"))
