@@ -48,6 +48,19 @@ def folder(spark, docs):
     labels = [(k, 1, 0) for k in range(8)] + [(9, None, None), (99, 0, 1)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     docs.limit(0).write.parquet(f"{path}-empty/documents.parquet")
+    r = random.Random(11)
+    vectors = [(k % 290 if k % 7 else None, [r.uniform(-1, 1) for _ in range(8)] if k % 9 else [float(k % 4)] * 8, k % 3 if k % 5 else None)
+               for k in range(300) if k != 11]
+    vectors += [(11, [float("nan")] * 8, 1), (12, None, 1), (13, [1.0, None] * 4, 1), (14, [float("inf")] * 8, None)]
+    vectors = spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int")
+    vectors.repartition(3).write.parquet(f"{path}/embeddings.parquet")
+    vectors.limit(0).write.parquet(f"{path}-empty/embeddings.parquet")
+    page = "<html><body><nav><ul><li><a href=/x>menu</a></li></ul></nav><div class=\"ad\">{}</div><article><h1>{}</h1><p><b>{}<br><p>{}</p></article><footer>{}</footer>"
+    pages = [(k, f"http://h/{k}", page.format(*(prose(100 + 5 * k + j, n) for j, n in enumerate((9, 4, 12, 40 * k, 8))))) for k in range(40)]
+    pages += [(3, pages[3][1], pages[3][2]), (None, None, pages[4][2] + "</body></html>"), (50, "http://h/50", None), (51, None, "")]
+    pages = spark.createDataFrame(pages, "page_id long, url string, html string")
+    pages.repartition(3).write.parquet(f"{path}/pages.parquet")
+    pages.limit(0).write.parquet(f"{path}-empty/pages.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}-empty/labels.parquet")
     return path
 
@@ -63,7 +76,8 @@ def by_content(got):
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_sql_agrees(spark, folder, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{folder.replace('file://', '')}/documents.parquet/*.parquet'")
+    for table in ("documents", "embeddings", "pages"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{folder.replace('file://', '')}/{table}.parquet/*.parquet'")
     got = catalog.QUERIES[name](spark, folder)
     want = con.sql(catalog.ORACLE[name])
     order = [want.columns.index(c) for c in got.columns]

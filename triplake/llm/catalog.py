@@ -5,7 +5,8 @@ from __future__ import annotations
 import importlib
 
 MODULES = ("host_quality", "suffix_dedup", "best_fit_packing", "secret_scan", "exact_dedup", "token_counts",
-           "minhash_dedup", "pii_pseudonyms", "source_mixing", "repair_tokens")
+           "minhash_dedup", "pii_pseudonyms", "source_mixing", "repair_tokens", "merkle_manifest",
+           "vector_codes", "html_extraction")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
