@@ -186,7 +186,8 @@ WITH kept AS MATERIALIZED (
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 cells AS (SELECT k, vec_id, len(e) // {parts} AS width, unnest(e) AS x, unnest(range(len(e))) AS p FROM kept),
 v AS MATERIALIZED (SELECT k, p // width AS part, p % width AS pos, floor(x::DOUBLE * {SCALE})::BIGINT AS x FROM cells),
-seeds AS (SELECT k, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept QUALIFY entry < {entries}),
+seeds AS (SELECT k, row_number() OVER (
+  ORDER BY vec_id NULLS LAST, list_transform(e, lambda x: floor(x::DOUBLE * {SCALE})::BIGINT)) - 1 AS entry FROM kept QUALIFY entry < {entries}),
 book0 AS MATERIALIZED (SELECT part, entry, pos, x AS c FROM seeds JOIN v USING (k)),{",".join(steps)},
 codes AS (
   SELECT k, string_agg(printf('%02x', key % {entries}), '' ORDER BY part) AS code, sum(key // {entries})::BIGINT AS error
