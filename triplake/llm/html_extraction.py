@@ -7,8 +7,8 @@ and its siblings. The decoding takes the best-scored labelling in which an artic
 elements below them and nothing below a dropped element is kept, so an ancestor never contradicts a descendant.
 
 The trees are trained on the driver on at most TRAIN_PAGES built pages (page_samples) with the text of as many sampled pages
-of the table, of at most SAMPLE_CHARS characters each; the sample is taken by the hash of the page and does not depend on
-partitioning. Pages are then read and decoded whole, each where it lies: no shuffle, memory for a batch of pages.
+of the table, of at most SAMPLE_CHARS characters each; the sample are the pages with the smallest hashes, so it does not depend
+on partitioning. Pages are then read and decoded whole, each where it lies: no shuffle, memory for a batch of pages.
 
 Defined results: null or empty html gives an empty text; a page without an article gives an empty text; blocks are trimmed,
 white space in them is one space and character references are decoded; text outside every element but the page itself
@@ -197,10 +197,11 @@ def train(texts: list[list[str]], pages: int = TRAIN_PAGES, seed: int = SEED) ->
 
 
 def sampled_texts(df: DataFrame, html_col: str = "html", pages: int = SAMPLE_PAGES) -> list[list[str]]:
-    """Blocks of a bounded sample of the table's pages: those with the smallest hashes among pages that are not too long."""
+    """Blocks of a bounded sample: of the pages of at most SAMPLE_CHARS characters those with the smallest hashes."""
     html = F.col(f"`{html_col}`")
-    rows = (df.select(html.alias("html")).where(F.length("html").between(1, SAMPLE_CHARS))
-            .orderBy(F.xxhash64("html"), "html").limit(pages).collect())
+    rows = df.select(html.alias("html")).where(F.length("html").between(1, SAMPLE_CHARS)).withColumn("at", F.xxhash64("html"))
+    chosen = [r.at for r in rows.select("at").distinct().orderBy("at").limit(pages).collect()]  # equal pages count once
+    rows = rows.where(F.col("at").isin(chosen)).groupBy("at").agg(F.min("html").alias("html")).orderBy("at").collect()
     out = []
     for r in rows:
         p = Pages()
