@@ -71,3 +71,44 @@ def test_large_city_day_revenue(spark):
     day = spark.createDataFrame([("2024-01-01", "X", 4, 1.0, 2e12, 4)],
                                 "metric_date string, city string, total_rides long, avg_duration_min double, revenue_pkr double, paid_rides long")
     assert G.fct_daily_city_metrics(day).first()["revenue_per_ride"] == 5e11
+
+
+def test_small_and_large_values_add_up_whole(spark):
+    assert spark.range(1_000_000).select(F.lit(4e-7).alias("v")).agg(half_up_sum("v").alias("s")).first()["s"] == 0.4
+    assert _sums(spark, [1e15] * 3 + [0.01] * 5)["s"] == 3000000000000000.05 and _sums(spark, [1e9 - 0.01, 0.02])["s"] == 1000000000.01
+    assert _sums(spark, [5e-324, 1e-300, 1e-30])["s"] == 0.0 and _sums(spark, [-1e22, 1e22, 0.37])["s"] == 0.37
+    assert _sums(spark, [9e22] * 3)["s"] == 2.7e23
+
+
+numbers = st.one_of(st.floats(allow_nan=False, allow_infinity=False, min_value=-1e22, max_value=1e22),
+                    st.sampled_from([4e-7, 1e9, 1e15, 0.005, 12.345, 1e-12, -0.01, 999999999.995]))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(numbers, min_size=1, max_size=60), st.randoms())
+def test_sums_of_any_magnitude_have_no_order(spark, values, r):
+    """Equal for every order and partitioning, and the exact decimal sum's rounding while that has 20 digits before the point."""
+    from triplake.functions.numeric import merged_sums, partial_sum, rounded_total
+
+    def both(vals, parts):
+        df = spark.createDataFrame([(k % 3, v) for k, v in enumerate(vals)], "g int, v double").repartition(parts)
+        one = df.agg(half_up_sum("v").alias("s"), half_up_avg("v").alias("a")).first()
+        two = df.groupBy("g").agg(partial_sum("v").alias("p")).agg(rounded_total(merged_sums("p")).alias("s")).first()
+        return one["s"], one["a"], two["s"]
+
+    got = both(values, 1)
+    again = list(values)
+    r.shuffle(again)
+    assert both(again, 4) == got and got[0] == got[2]
+    # classes keep 37 places; below that nothing reaches the second place of so few values
+    import decimal
+    with decimal.localcontext(prec=400):
+        total = sum(Decimal(repr(v)) for v in values)
+        if abs(total) < Decimal("1e19"):
+            assert abs(Decimal(repr(got[0])) - total) <= Decimal("0.00500000001") + abs(total) * Decimal("1e-15")
+
+
+def test_nan_and_infinite_sums(spark):
+    assert all(x != x for x in _sums(spark, [float("nan"), 4e-7, 1e15]))
+    assert _sums(spark, [float("-inf"), 1e22])["s"] == float("-inf")
+    assert _sums(spark, [float("inf"), float("-inf")])["s"] != _sums(spark, [1.0])["s"]

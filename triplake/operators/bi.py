@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from triplake.functions import half_up_avg, half_up_sum
-from triplake.functions.numeric import SUM_DEC, exact_sum, large_sum, rounded_total
+from triplake.functions.numeric import merged_sums, partial_sum, rounded_total
 
 
 def kpis(fct_rides: DataFrame) -> DataFrame:
@@ -18,19 +18,17 @@ def kpis(fct_rides: DataFrame) -> DataFrame:
     """
     per_driver = fct_rides.groupBy("driver_id").agg(
         F.count(F.lit(1)).alias("rides"),
-        exact_sum("revenue").alias("rev"),
-        large_sum("revenue").alias("rev_large"),
-        exact_sum("fare_amount").alias("fare_sum"),
-        large_sum("fare_amount").alias("fare_large"),
+        partial_sum("revenue").alias("revenue"),
+        partial_sum("fare_amount").alias("fare"),
         F.count("fare_amount").alias("fare_n"),
         F.max("driver_rating").alias("rating"),
     )
-    revenue, large = F.sum("rev").cast(SUM_DEC), F.sum("rev_large")
+    revenue = merged_sums("revenue")
     return per_driver.agg(
-        rounded_total(revenue, large).alias("total_revenue"),
+        rounded_total(revenue).alias("total_revenue"),
         F.sum("rides").alias("total_rides"),
-        rounded_total(F.sum("fare_sum"), F.sum("fare_large"), F.sum("fare_n")).alias("avg_fare"),
-        rounded_total(F.round(revenue, 2), large, F.sum("rides")).alias("revenue_per_ride"),
+        rounded_total(merged_sums("fare"), F.sum("fare_n")).alias("avg_fare"),
+        rounded_total(revenue, F.sum("rides"), first=2).alias("revenue_per_ride"),
         half_up_avg(F.when(F.col("driver_id").isNotNull(), F.col("rating")), 2).alias("avg_driver_rating"),
         F.count("driver_id").alias("active_drivers"),
     )
