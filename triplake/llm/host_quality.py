@@ -2,8 +2,10 @@
 
 Per document, five counts are taken in one pass over its whole text; two base rules mark failing documents. Failures are
 summed by host (partial sums first, so a host with most of the rows is no burden), each host's rate is shrunk with a beta
-prior fitted to all hosts' rates by the method of moments, and hosts whose shrunk rate passes ``max_host_rate`` take
-their remaining documents with them. A host seen once or twice stays near the prior and is never condemned by it.
+prior fitted to all hosts by the moments of beta-binomial counts, and hosts whose shrunk rate passes ``max_host_rate`` take
+their remaining documents with them. The moments take out the noise that small counts have by themselves, so many hosts of
+one document say nothing about how hosts differ; and the prior weighs a few documents at least (MIN_PRIOR_WEIGHT), so such
+hosts stay near the overall rate.
 
 Defined results: null text has no words (and so fails); a null host has no verdict, only the base rules count; repeated
 rows and ids are judged row by row; an empty table gives an empty table; other columns are not read.
@@ -24,8 +26,11 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 # A host goes when its shrunk failure rate is above this: nearly all of what it serves fails.
 MAX_HOST_RATE = 0.8
-# Weight, in documents, of the prior where all hosts have the same rate (its moments then give no finite weight).
+# Weight, in documents, of the prior where hosts differ no more than chance does (its moments then give no finite weight).
 MAX_PRIOR_WEIGHT = 1000.0
+# The prior weighs at least this much, however unlike the large hosts are: a host seen once or twice goes only where more than
+# seven in ten of all documents fail.
+MIN_PRIOR_WEIGHT = 4.0
 
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SYMBOL = np.zeros(256, bool)
@@ -43,7 +48,6 @@ def _counts(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
     chars = inside(solid & ~ta.CONTINUATION[data])
     symbols = inside(_SYMBOL[data])
     starts, ends, rows = ta.words(data, off)
-    sums = ta.prefix_sums(data)
 
     breaks = np.flatnonzero(data == 10)
     line_start = np.unique(np.concatenate([off[:-1], breaks + 1]))
@@ -56,9 +60,9 @@ def _counts(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
     with_word = inside(solid)
     real = with_word[closing] > with_word[line_start]
     line_start, closing, line_row = line_start[real], closing[real], line_row[real]
-    _, later = ta.repeated_in_row(ta.range_hashes(sums, line_start, closing), line_row)
+    _, later = ta.repeated_in_row(ta.content_hashes(data, line_start, closing), line_row)
 
-    grams, first = ta.windows(ta.range_hashes(sums, starts, ends), rows, 3)
+    grams, first = ta.windows(ta.content_hashes(data, starts, ends), rows, 3)
     again, _ = ta.repeated_in_row(grams, rows[first])
     covered = np.zeros(len(starts), bool)
     for j in range(3):
@@ -68,8 +72,7 @@ def _counts(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
 
 
 def with_metrics(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df``'s columns (text included) plus the five counts and ``base_failed``; names taken here are replaced."""
-    df = df.drop(*METRICS, "base_failed")
+    """``df``'s columns (text included) plus the five counts and ``base_failed``, names that ``df`` must not have."""
     schema = T.StructType([*df.schema.fields, *(T.StructField(m, T.LongType()) for m in METRICS),
                            T.StructField("base_failed", T.BooleanType())])
     at = df.columns.index(text_col)
@@ -91,11 +94,15 @@ def host_verdicts(failures: DataFrame, max_host_rate: float = MAX_HOST_RATE) ->
     """(host, n_docs, n_failed, shrunk_rate, host_rejected) from (host, base_failed) rows; null hosts are left out."""
     hosts = (failures.where(F.col("host").isNotNull()).groupBy("host")
              .agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed")))
-    rate = F.col("n_failed") / F.col("n_docs")
-    prior = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v"))
-    weight = F.when(F.col("v") > 0, F.least(F.lit(MAX_PRIOR_WEIGHT), F.greatest(
-        F.lit(0.0), F.try_divide(F.col("m") * (1 - F.col("m")), F.col("v")) - 1))).otherwise(F.lit(MAX_PRIOR_WEIGHT))
-    prior = prior.select("m", weight.alias("w"))  # one row of two numbers
+    n, f = F.col("n_docs").cast("double"), F.col("n_failed").cast("double")
+    sums = hosts.agg(F.sum(n).alias("n"), F.sum(f).alias("f"), F.sum(f * f / n).alias("ff"), F.sum(n * n).alias("nn"),
+                     F.count(F.lit(1)).alias("k"))
+    m = F.try_divide("f", "n")
+    chance = m * (1 - m)  # variance of one document's failure at the overall rate
+    likeness = F.try_divide(F.col("ff") - F.col("f") * m - chance * (F.col("k") - 1),
+                            chance * (F.col("n") - F.try_divide("nn", "n") - (F.col("k") - 1)))
+    weight = F.when(likeness > 0, F.least(F.lit(MAX_PRIOR_WEIGHT), F.greatest(F.lit(MIN_PRIOR_WEIGHT), 1 / likeness - 1))).otherwise(F.lit(MAX_PRIOR_WEIGHT))
+    prior = sums.select(m.alias("m"), weight.alias("w"))  # one row of two numbers
     shrunk = (F.col("n_failed") + F.col("m") * F.col("w")) / (F.col("n_docs") + F.col("w"))
     return (hosts.join(F.broadcast(prior), F.lit(True)).select("host", "n_docs", "n_failed", shrunk.alias("shrunk_rate"))
             .withColumn("host_rejected", F.col("shrunk_rate") > max_host_rate))
@@ -121,12 +128,13 @@ def judged(docs: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
 def kept_documents(df: DataFrame, text_col: str = "text", host_col: str = "source",
                    max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
     """``df`` without the documents that the rules reject; its columns stay as they are."""
-    failures = with_metrics(df.select(F.col(host_col).alias("host"), F.col(text_col).alias("text"))).select("host", "base_failed")
+    rows, name = store.renamed(df)
+    failures = with_metrics(rows.select(F.col(name[host_col]).alias("host"), F.col(name[text_col]).alias("text"))).select("host", "base_failed")
     rejected = store.written(host_verdicts(failures, max_host_rate).where("host_rejected")
-                             .select(F.col("host").alias("_rejected_host")), "rejected-hosts")
-    scored = with_metrics(df.select(*df.columns), text_col).where(~F.col("base_failed"))
-    return (scored.join(store.maybe_broadcast(rejected), F.col(host_col) == F.col("_rejected_host"), "left_anti")
-            .select(*df.columns))
+                             .select(F.col("host").alias("rejected_host")), "rejected-hosts")
+    scored = with_metrics(rows, name[text_col]).where(~F.col("base_failed")).select(*rows.columns)
+    return (scored.join(store.maybe_broadcast(rejected), F.col(name[host_col]) == F.col("rejected_host"), "left_anti")
+            .toDF(*df.columns))
 
 
 def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,9 +168,10 @@ failing AS (
   SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM base),
 hosts AS (
   SELECT host, count(*) AS n, sum(base_failed::INT) AS f FROM failing WHERE host IS NOT NULL GROUP BY host),
-prior AS (SELECT avg(f / n) AS m, var_pop(f / n) AS v FROM hosts),
+sums AS (SELECT sum(n) AS n, sum(f) AS f, sum(f * f / n) AS ff, sum(n * n) AS nn, count(*) AS k, sum(f) / sum(n) AS m FROM hosts),
+prior AS (SELECT m, (ff - f * m - m * (1 - m) * (k - 1)) / nullif(m * (1 - m) * (n - nn / n - (k - 1)), 0) AS rho FROM sums),
 weight AS (
-  SELECT m, CASE WHEN v > 0 THEN least({MAX_PRIOR_WEIGHT}, greatest(0.0, m * (1 - m) / v - 1)) ELSE {MAX_PRIOR_WEIGHT} END AS s
+  SELECT m, CASE WHEN rho > 0 THEN least({MAX_PRIOR_WEIGHT}, greatest({MIN_PRIOR_WEIGHT}, 1 / rho - 1)) ELSE {MAX_PRIOR_WEIGHT} END AS s
   FROM prior),
 verdict AS (SELECT host, (f + m * s) / (n + s) > {MAX_HOST_RATE} AS rejected FROM hosts, weight)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

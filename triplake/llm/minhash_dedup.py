@@ -54,7 +54,7 @@ def shingle_sets(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndar
     n = len(off) - 1
     low = _LOWER[data]
     starts, ends, rows = ta.words(low, off)
-    own = ta.range_hashes(ta.prefix_sums(low), starts, ends)
+    own = ta.content_hashes(low, starts, ends)
     h, first = ta.windows(own, rows, SHINGLE_WORDS)
     row = rows[first]
     count = ta.per_row(rows, n)
@@ -199,8 +199,9 @@ def _grouped(docs: DataFrame) -> DataFrame:
     reps = store.written(signed.join(active, "row_id", "left_semi"), "minhash-active-reps")
     doc_key = F.coalesce("doc_id", F.lit(int(NO_ID)))
     places = store.written(reps.select(F.col("row_id").alias("rid"), "doc_key", "text_hash"), "minhash-places")
+    # rows that repeat a representative's id and text are joined too: one of them is enough
     texts = store.written(docs.withColumn("doc_key", doc_key).join(
-        store.maybe_broadcast(places), ["doc_key", "text_hash"]).select("rid", "text"), "minhash-texts")
+        store.maybe_broadcast(places), ["doc_key", "text_hash"]).select("rid", "text").dropDuplicates(["rid"]), "minhash-texts")
 
     # hubs: first the member with the fewest values of its own (the middle of a group of near copies), then any
     postings = lists.select("rid", F.size("keys").alias("s"), F.explode("keys.key").alias("key"))
@@ -315,26 +316,29 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     A row is known by its id and the 128-bit hash of its text, so rows that share an id (or have none) are decided each;
     of equal ids the smallest hash stays, of rows equal in both any one. Rows without shingles all stay.
     """
-    key = {"_id": F.col(id_col).cast("long"), "_h": F.xxhash64(F.col(text_col)), "_g": F.xxhash64(F.lit(1), F.col(text_col))}
-    docs = df.select(key["_id"].alias("doc_id"), F.col(text_col).alias("text"), key["_h"].alias("text_hash"), key["_g"].alias("text_hash2"))
+    own, name = store.renamed(df)
+    text = F.col(name[text_col])
+    key = {"id_": F.col(name[id_col]).cast("long"), "h_": F.xxhash64(text), "g_": F.xxhash64(F.lit(1), text)}
+    docs = own.select(key["id_"].alias("doc_id"), text.alias("text"), key["h_"].alias("text_hash"), key["g_"].alias("text_hash2"))
     rows = store.written(_grouped(docs).where("component IS NOT NULL").select(
         "component", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "text_hash2").alias("r")), "near-rows")
     groups = rows.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min("r").alias("first")).where("n > 1").drop("n")
     copies = rows.join(store.maybe_broadcast(store.written(groups, "near-groups")), "component")
     copies = copies.groupBy("r").agg(F.count(F.lit(1)).alias("n"), F.first(F.col("r") == F.col("first")).alias("stays"))
-    copies = store.written(copies.select(F.col("r.doc_id").alias("_own_id"), F.col("r.text_hash").alias("_own_h"),
-                                         F.col("r.text_hash2").alias("_own_g"), "n", "stays"), "near-copies")
+    copies = store.written(copies.select(F.col("r.doc_id").alias("own_id"), F.col("r.text_hash").alias("own_h"),
+                                         F.col("r.text_hash2").alias("own_g"), "n", "stays"), "near-copies")
 
     def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-        on = left["_id"].eqNullSafe(right["_own_id"]) & (left["_h"] == right["_own_h"]) & (left["_g"] == right["_own_g"])
+        on = left["id_"].eqNullSafe(right["own_id"]) & (left["h_"] == right["own_h"]) & (left["g_"] == right["own_g"])
         return left.join(store.maybe_broadcast(right), on, how)
 
-    keyed = df.withColumns(key)
+    keyed = own.withColumns(key)
     repeated = copies.where("stays AND n > 1").drop("n", "stays")
     if repeated.isEmpty():
-        return joined(keyed, copies.where("NOT stays").drop("n", "stays"), "left_anti").select(*df.columns)
+        return joined(keyed, copies.where("NOT stays").drop("n", "stays"), "left_anti").select(*own.columns).toDF(*df.columns)
     rest = joined(keyed, copies.where("NOT stays OR n > 1").drop("n", "stays"), "left_anti")
-    return rest.unionByName(joined(keyed, repeated, "left_semi").dropDuplicates(list(key))).select(*df.columns)
+    once = rest.unionByName(joined(keyed, repeated, "left_semi").dropDuplicates(list(key)))
+    return once.select(*own.columns).toDF(*df.columns)
 
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Token ids on disk under Re-Pair grammars: frequent id pairs become nonterminals, shard by shard.
 
 Documents are range-sorted by id and encoded; every task cuts its run of documents into shards. In a shard, rounds of
-pair replacement run until they save little: each round counts all adjacent pairs, gives the most frequent ones new
-symbols and replaces their occurrences from left to right; a pair never spans two documents. A shard keeps its rules,
+pair replacement run until one would save less than a hundredth of the symbols: each round counts all adjacent pairs, gives
+the most frequent ones new symbols and replaces their occurrences from left to right; a pair never spans two documents. A shard keeps its rules,
 the expansion length of every nonterminal and where each document's symbols begin, so a range of a document's ids is
 decoded without expanding what lies before it. Shards are rows of a Parquet dataset (one row group entry each), in
 ascending document order.
@@ -28,7 +28,8 @@ from triplake.llm import textarrays as ta
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 SHARD_IDS = 1 << 20
-ROUNDS = 8
+SLOT_BITS = 20
+SLOTS = 1 << SLOT_BITS
 PAIRS_A_ROUND = 2048
 LEAST_COUNT = 8
 LEAST_SAVING = 0.01  # of the sequence; a round below it is the last
@@ -37,41 +38,48 @@ SHARD_SCHEMA = ("part int, shard int, n_docs long, n_ids long, first_symbol long
                 "doc_ids_n binary, doc_symbols_n binary, rules binary, expansion binary, symbols binary")
 
 
-def grammar(ids: np.ndarray, off: np.ndarray, first_symbol: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, symbols a document, rules as rows of two symbols) of documents' ids."""
-    seq = ids.astype(np.uint64)
+def grammar(ids: np.ndarray, off: np.ndarray, first_symbol: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, symbols a document, rules as rows of two symbols) of documents' ids.
+
+    A round counts pairs by slot of their hash and takes the most frequent slots. Each slot stands for one pair that occurs
+    in it; positions of other pairs that share the slot are left to a later round, so no round sorts the sequence. Counts
+    that decide are of that one pair. Every round but the last removes at least LEAST_SAVING of the sequence.
+    """
+    seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), bool)
     last[off[1:][off[1:] > off[:-1]] - 1] = True
     rules: list[np.ndarray] = []
     symbol = first_symbol
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        key = (seq[:-1] << np.uint64(32)) | seq[1:]
-        slot = ((key * np.uint64(ta.BASE)) >> np.uint64(44)).astype(np.int32)
-        slot[last[:-1]] = 1 << 20  # a document's last symbol starts no pair
-        count = np.bincount(slot, minlength=(1 << 20) + 1)[:-1]
-        floor = max(LEAST_COUNT, int(np.partition(count, -PAIRS_A_ROUND)[-PAIRS_A_ROUND]))
+    pair_of, number = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32)
+    while len(seq) > 1:
+        key = seq[:-1].astype(np.uint64)
+        key <<= np.uint64(32)
+        key |= seq[1:]
+        slot = ((key * np.uint64(ta.BASE)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+        slot[last[:-1]] = SLOTS  # a document's last symbol starts no pair
+        count = np.bincount(slot, minlength=SLOTS + 1)[:SLOTS]
+        often = count[count >= LEAST_COUNT]
+        floor = int(np.partition(often, -PAIRS_A_ROUND)[-PAIRS_A_ROUND]) if len(often) > PAIRS_A_ROUND else LEAST_COUNT
         hot = np.append(count >= floor, False)
         at = np.flatnonzero(hot[slot])
-        if not len(at):
-            break
-        pairs, inverse, n = np.unique(key[at], return_inverse=True, return_counts=True)
-        at = at[n[inverse] >= LEAST_COUNT]
+        pair_of[slot[at]] = key[at]
+        at = at[pair_of[slot[at]] == key[at]]
         # of neighbours that overlap every second one, from the left, is replaced
         fresh = np.ones(len(at), bool)
         fresh[1:] = np.diff(at) > 1
         head = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - head) % 2 == 0]
-        pairs, inverse, n = np.unique(key[at], return_inverse=True, return_counts=True)
-        used = n >= 2
-        at, inverse = at[used[inverse]], (np.cumsum(used) - 1)[inverse[used[inverse]]]
-        if len(at) < LEAST_SAVING * len(seq):
+        at = at[((np.arange(len(at)) - head) & 1) == 0]
+        used = np.flatnonzero(np.bincount(slot[at], minlength=SLOTS) >= LEAST_COUNT)
+        number[:] = -1
+        number[used] = np.arange(len(used))
+        at = at[number[slot[at]] >= 0]
+        if not len(at) or len(at) < LEAST_SAVING * len(seq):
             break
-        rules.append(np.stack([pairs[used] >> np.uint64(32), pairs[used] & np.uint64(0xFFFFFFFF)], axis=1))
-        seq[at] = (symbol + inverse).astype(np.uint64)
+        pairs = pair_of[used]
+        rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1))
+        seq[at] = symbol + number[slot[at]]
         last[at] = last[at + 1]
-        symbol += int(used.sum())
+        symbol += len(used)
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
         seq, last = seq[stay], last[stay]
@@ -95,8 +103,8 @@ def expansion_lengths(rules: np.ndarray, first_symbol: int) -> np.ndarray:
         out = now
 
 
-def expanded(symbols: np.ndarray, rules: np.ndarray, first_symbol: int) -> np.ndarray:
-    """The ids that ``symbols`` stand for; each pass opens every nonterminal by one level."""
+def opened(symbols: np.ndarray, rules: np.ndarray, first_symbol: int) -> np.ndarray:
+    """The ids that a few ``symbols`` stand for; each pass opens every nonterminal by one level."""
     seq = symbols.astype(np.int64)
     rules = rules.astype(np.int64)
     while True:
@@ -111,6 +119,28 @@ def expanded(symbols: np.ndarray, rules: np.ndarray, first_symbol: int) -> np.nd
         seq = out
 
 
+def expanded(symbols: np.ndarray, rules: np.ndarray, first_symbol: int, pieces: int = 1 << 12) -> np.ndarray:
+    """The ids that ``symbols`` stand for: every rule is opened once, then each symbol's ids are gathered.
+
+    Rules are opened some at a time, and rules whose ids would outgrow the text (a long run of one pair) only where used.
+    """
+    size = expansion_lengths(rules, first_symbol)
+    total = int(size.sum())
+    if total > 4 * len(symbols) + (1 << 16):
+        return opened(symbols, rules, first_symbol)
+    pool = [opened(rules[k:k + pieces].ravel(), rules, first_symbol) for k in range(0, len(rules), pieces)]
+    terminal = symbols < first_symbol
+    pool = np.concatenate([*pool, symbols[terminal].astype(np.uint32)])
+    place = np.cumsum(terminal) - 1 + total
+    rule = np.where(terminal, 0, symbols.astype(np.int64) - first_symbol)
+    begin, length = place, np.ones(len(symbols), np.int64)
+    if len(rules):
+        begin = np.where(terminal, place, (np.cumsum(size) - size)[rule])
+        length = np.where(terminal, 1, size[rule])
+    ends = np.cumsum(length)
+    return pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - length), length)]
+
+
 def decode_range(shard: dict, doc: int, start: int, stop: int) -> np.ndarray:
     """Ids [start, stop) of a shard's ``doc``-th document; opens only the symbols that overlap them."""
     first = shard["first_symbol"]
@@ -123,7 +153,7 @@ def decode_range(shard: dict, doc: int, start: int, stop: int) -> np.ndarray:
     ends = np.cumsum(lengths)
     a, b = np.searchsorted(ends, start, side="right"), np.searchsorted(ends, stop, side="left") + 1
     skipped = int(ends[a - 1]) if a else 0
-    return expanded(own[a:b], rules, first)[start - skipped:stop - skipped]
+    return opened(own[a:b], rules, first)[start - skipped:stop - skipped]
 
 
 def shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER,
@@ -165,7 +195,9 @@ def shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
             yield shard()
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sorted_ = rows.repartitionByRange(store.default_width(df.sparkSession), "doc_id").sortWithinPartitions("doc_id")
+    # the text's hash splits the rows of a frequent id (null, say) over partitions that follow each other
+    sorted_ = (rows.repartitionByRange(store.default_width(df.sparkSession), F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+               .sortWithinPartitions(F.col("doc_id").asc_nulls_first()))
     return store.map_arrow(sorted_, scan, SHARD_SCHEMA)
 
 

@@ -128,16 +128,17 @@ def source_mixing(docs: DataFrame, labels: DataFrame, weights: dict[str, float]
                   text_col: str = "text", train_docs: int = TRAIN_DOCS) -> DataFrame:
     """One row per document: (doc_id, n_tokens, p_clean, p_low, p_toxic, rate, copies).
 
-    ``copies`` rounds the rate up or down by the id's hash, so its expectation is the rate.
+    ``copies`` rounds the rate up or down by the hash of id and text, so its expectation is the rate.
     """
-    return _planned(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), labels, weights, train_docs)
+    return _planned(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                                F.xxhash64(F.col(text_col)).alias("own_h")), labels, weights, train_docs).drop("own_h")
 
 
 def _planned(own: DataFrame, labels: DataFrame, weights: dict[str, float], train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """``source_mixing`` of ``own`` (doc_id, text), and what other columns it has."""
+    """``source_mixing`` of ``own`` (doc_id, text, own_h), and what other columns it has."""
     model, prior = fit(own, labels, train_docs)
     fitted = rates(posteriors(own, model, prior), weights)
-    chance = F.pmod(F.xxhash64("doc_id", F.lit("mixing")), F.lit(1 << 20)) / (1 << 20)
+    chance = F.pmod(F.xxhash64("doc_id", "own_h", F.lit("mixing")), F.lit(1 << 20)) / (1 << 20)
     return fitted.select("doc_id", "n_tokens", *(F.col(f"p{k}").alias(f"p_{name}") for k, name in enumerate(DOMAINS)), "rate",
                          F.floor(F.col("rate") + chance).cast("long").alias("copies"),
                          *(c for c in own.columns if c not in ("doc_id", "text")))
@@ -149,16 +150,18 @@ def mixed_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float
 
     Copies are a function of id and text, so a row takes those of its own id and 128-bit text hash.
     """
-    key = {"_id": F.col(id_col).cast("long"), "_h": F.xxhash64(F.col(text_col)), "_g": F.xxhash64(F.lit(1), F.col(text_col))}
-    plan = _planned(docs.select(key["_id"].alias("doc_id"), F.col(text_col).alias("text"), key["_h"].alias("_own_h"), key["_g"].alias("_own_g")),
+    own, name = store.renamed(docs)
+    text = F.col(name[text_col])
+    key = {"id_": F.col(name[id_col]).cast("long"), "h_": F.xxhash64(text), "g_": F.xxhash64(F.lit(1), text)}
+    plan = _planned(own.select(key["id_"].alias("doc_id"), text.alias("text"), key["h_"].alias("own_h"), key["g_"].alias("own_g")),
                     labels, weights)
-    changed = store.written(plan.where("copies != 1").groupBy(F.col("doc_id").alias("_own_id"), "_own_h", "_own_g").agg(
-        F.max("copies").alias("_copies")), "mixing-copies")
-    keyed = docs.withColumns(key)
-    on = keyed["_id"].eqNullSafe(changed["_own_id"]) & (keyed["_h"] == changed["_own_h"]) & (keyed["_g"] == changed["_own_g"])
+    changed = store.written(plan.where("copies != 1").groupBy(F.col("doc_id").alias("own_id"), "own_h", "own_g").agg(
+        F.max("copies").alias("copies")), "mixing-copies")
+    keyed = own.withColumns(key)
+    on = keyed["id_"].eqNullSafe(changed["own_id"]) & (keyed["h_"] == changed["own_h"]) & (keyed["g_"] == changed["own_g"])
     out = keyed.join(store.maybe_broadcast(changed), on, "left")
-    times = F.array_repeat(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1)).cast("int"))
-    return out.withColumn("_one", F.explode(times)).select(*docs.columns)
+    times = F.array_repeat(F.lit(1), F.coalesce(F.col("copies"), F.lit(1)).cast("int"))
+    return out.withColumn("one", F.explode(times)).select(*own.columns).toDF(*docs.columns)
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,12 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def renamed(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns called u0, u1, ... (no operator's own names are), and those names by the old ones."""
+    names = {c: f"u{k}" for k, c in enumerate(df.columns)}
+    return df.toDF(*[f"u{k}" for k in range(len(df.columns))]), names
+
+
 def small_enough(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Whether a written table's rows, as text, take at most ``limit`` bytes (one aggregate, one row back)."""
     width = F.lit(0)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 # Fixed odd multiplier of the range hash and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -55,14 +56,6 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def prefix_sums(values: np.ndarray) -> np.ndarray:
-    """Prefix sums of (value + 1) * BASE**i, so that any range's hash is one subtraction away."""
-    up, _ = powers(len(values) + 1)
-    s = np.zeros(len(values) + 1, _U64)
-    np.cumsum((values.astype(_U64) + _U64(1)) * up[:len(values)], dtype=_U64, out=s[1:])
-    return s
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit hashes (two multiply and shift rounds)."""
     h = (h ^ (h >> _U64(31))) * _U64(0xBF58476D1CE4E5B9)
@@ -70,10 +63,53 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U64(31))
 
 
+def grams(data: np.ndarray) -> np.ndarray:
+    """A mixed 64-bit word of the eight bytes from each position on (zeros after the end)."""
+    room = np.concatenate([data, np.zeros(8, np.uint8)])
+    return mixed(np.ndarray((len(data),), "<u8", room, strides=(1,)) + _U64(BASE))
+
+
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Prefix sums of gram * BASE**i, so that any range's hash is one subtraction away.
+
+    The terms are mixed words, not bytes: a polynomial of the bytes themselves is zero modulo 2**64 on the difference of
+    some texts (Thue-Morse words) whatever its base.
+    """
+    up, _ = powers(len(data) + 1)
+    s = np.zeros(len(data) + 1, _U64)
+    np.cumsum(grams(data) * up[:len(data)], dtype=_U64, out=s[1:])
+    return s
+
+
 def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the ranges [start, end), equal for equal content wherever it stands."""
+    """64-bit hashes of ranges [start, end) of eight bytes or more, equal for equal content wherever it stands."""
     _, down = powers(len(sums))
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U64) * _U64(0xD6E8FEB86659FD93))
+    return mixed((sums[ends - 7] - sums[starts]) * down[starts] + (ends - starts).astype(_U64) * _U64(0xD6E8FEB86659FD93))
+
+
+# Ranges of up to this many bytes are hashed together, eight bytes a step; longer ones one by one.
+STEPWISE_BYTES = 64
+_LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], _U64)
+
+
+def content_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of any ranges [start, end), block by block of eight bytes: each step mixes what came before."""
+    size = ends - starts
+    h = mixed(size.astype(_U64) + _U64(BASE))
+    room = np.concatenate([data, np.zeros(8, np.uint8)])
+    words_ = np.ndarray((len(data) + 1,), "<u8", room, strides=(1,))
+    live = np.flatnonzero((size > 0) & (size <= STEPWISE_BYTES))
+    step = 0
+    while len(live):
+        block = words_[starts[live] + step] & _LOW_BYTES[np.minimum(size[live] - step, 8)]
+        h[live] = mixed((h[live] ^ block) * _U64(BASE) + block)
+        step += 8
+        live = live[size[live] > step]
+    long = np.flatnonzero(size > STEPWISE_BYTES)
+    if len(long):
+        raw = memoryview(np.ascontiguousarray(data))
+        h[long] = [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts[long].tolist(), ends[long].tolist())]
+    return h
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
