@@ -207,15 +207,15 @@ def raw_rides(spark, sf):
 
 
 def raw_upper_columns(spark, sf):
-    return src.read_layer(spark, fx.gold_lake(spark, sf).raw_rides, "raw")
+    return jobs.raw_table(spark, fx.gold_lake(spark, sf), "rides")
 
 
 def raw_daily_load(spark, sf):
-    return src.read_layer(spark, fx.gold_lake(spark, sf).raw_daily, "raw")
+    return jobs.raw_table(spark, fx.gold_lake(spark, sf), "daily")
 
 
 def raw_hourly_load(spark, sf):
-    return src.read_layer(spark, fx.gold_lake(spark, sf).raw_hourly, "raw")
+    return jobs.raw_table(spark, fx.gold_lake(spark, sf), "hourly")
 
 
 # -- Gold ---------------------------------------------------------------------- #

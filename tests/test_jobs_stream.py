@@ -299,7 +299,7 @@ def test_empty_partitioned_reload_stays_readable(spark, tmp_lake):
     from triplake.sinks.lake import reload_table
     empty = spark.createDataFrame([], "ride_id string, ride_date date")
     reload_table(empty, f"{tmp_lake}/fct", ("ride_date",))
-    df = src.read_layer(spark, f"{tmp_lake}/fct", "gold")
+    df = src.read_layer(spark, f"{tmp_lake}/fct", "gold", empty.schema)
     assert df.count() == 0 and set(df.columns) == {"ride_id", "ride_date"}
     full = spark.createDataFrame([("r1", None)], "ride_id string, ride_date date").selectExpr(
         "ride_id", "DATE'2024-01-01' AS ride_date")

@@ -131,7 +131,7 @@ def main(argv=None, spark=None) -> int:
 
             rep = P.RunReport(None)
             ns.ensure_namespaces(spark, paths)
-            for r in P.tested_gold(spark, paths, cfg, rep):  # 14 rows at most
+            for r in P.tested_gold(spark, paths, cfg, rep, args.strict_tests):  # 14 rows at most
                 print(f"{r['model']:<24} {r['column_name']:<14} {r['test']:<16} {r['failures']:>8} {r['status']}")
             if not rep.ok or args.strict_tests and rep.failed_tests:
                 return 1

@@ -39,3 +39,5 @@ class LakeConfig:
     event_types: tuple[str, ...] = VALID_EVENT_TYPES
     # rows per output file when landing large batches (0 = no cap)
     max_records_per_file: int = 5_000_000
+    # whether appends to Bronze are shuffled by partition first, so that files are few
+    rebalance_appends: bool = True

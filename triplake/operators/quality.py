@@ -219,11 +219,15 @@ def dim_tests(gold: dict) -> DataFrame:
     ])
 
 
-def fact_tests(gold: dict, cfg: LakeConfig) -> DataFrame:
-    """Tests of the three facts; each table is scanned once for its column tests."""
+def fact_tests(gold: dict, cfg: LakeConfig, other_rides: DataFrame | None = None) -> DataFrame:
+    """Tests of the three facts; each table is scanned once for its column tests.
+
+    ``other_rides`` are rides besides those in ``gold`` that share an id with one of them: they count for ``unique``.
+    """
     f = gold["fct_rides"]
+    ids = f.select("ride_id") if other_rides is None else f.select("ride_id").unionByName(other_rides.select("ride_id"))
     return _union([
-        test_unique(f, "fct_rides", "ride_id"),
+        test_unique(ids, "fct_rides", "ride_id"),
         column_tests(f, "fct_rides", ["ride_id", "city", "revenue"], ("city", cfg.valid_cities)),
         test_relationships(f, "fct_rides", "driver_id", gold["dim_driver"], "driver_id"),
         test_not_null(gold["fct_daily_city_metrics"], "fct_daily_city_metrics",

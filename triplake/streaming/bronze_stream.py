@@ -5,17 +5,15 @@ summarised per event type; an empty batch writes nothing. By default the
 summary is collected with ``observe`` during the write itself (one pass,
 nothing cached); ``cache_batches=True`` instead persists the batch, counts
 and summarises it from the cache, writes, and releases it. The checkpoint holds offsets only
-(no state), so a restart resumes after the last committed batch. The sink
-is at-least-once, like the source's: a batch replayed after a driver
-failure between write and commit appends its rows again. Silver's distinct
-counts absorb such copies; revenue sums and the RAW join (and the ``unique``
-test on ``fct_rides``, which reports it) do not. Spark's own file sink would
-be exactly-once, but streaming plans run without AQE, so its writes could
-not be rebalanced (a hot date/type would land in one task).
+(no state), so a restart resumes after the last committed batch. A batch is
+published under a key of the checkpoint's query id and the batch number, so
+a batch replayed after a driver failure between write and commit is finished
+or skipped, never appended twice.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
 
@@ -26,13 +24,20 @@ from pyspark.sql.streaming import StreamingQuery
 from triplake.config import LakeConfig
 from triplake.operators import bronze as B
 from triplake.sinks import lake as sink
+from triplake.sinks.publish import Files
 
 log = logging.getLogger(__name__)
 
 
 def batch_writer(bronze_path: str, cfg: LakeConfig = LakeConfig(), summaries: list | None = None,
-                 cache_batches: bool = False):
-    """Build the ``foreachBatch`` callback."""
+                 cache_batches: bool = False, checkpoint: str | None = None):
+    """Build the ``foreachBatch`` callback; without ``checkpoint`` batches have no key and a replayed one is appended again."""
+
+    def key(batch_df: DataFrame, batch_id: int) -> str | None:
+        if checkpoint is None:
+            return None
+        query = json.loads(Files(batch_df.sparkSession, checkpoint).read(f"{checkpoint}/metadata"))["id"]
+        return f"stream-{query}-{batch_id}"
 
     def write_observed(batch_df: DataFrame, batch_id: int) -> None:
         # emptiness probe stops at the first valid row; the counts come from
@@ -44,7 +49,9 @@ def batch_writer(bronze_path: str, cfg: LakeConfig = LakeConfig(), summaries: li
         obs = Observation(f"bronze_batch_{batch_id}_{uuid.uuid4().hex[:8]}")
         observed = batch_df.observe(obs, *[
             F.count_if(F.col("event_type") == t).alias(t) for t in cfg.event_types])
-        sink.append_bronze(observed, bronze_path, cfg)
+        if not sink.append_bronze(observed, bronze_path, cfg, key(batch_df, batch_id)):
+            log.info("batch %s: landed before", batch_id)
+            return
         counts = sorted((t, n) for t, n in obs.get.items() if n)
         total = sum(n for _, n in counts)
         log.info("batch %s: wrote %s events to Bronze %s", batch_id, total, counts)
@@ -60,7 +67,9 @@ def batch_writer(bronze_path: str, cfg: LakeConfig = LakeConfig(), summaries: li
             total = sum(n for _, n in counts)
             if total == 0:
                 return
-            sink.append_bronze(batch_df, bronze_path, cfg)
+            if not sink.append_bronze(batch_df, bronze_path, cfg, key(batch_df, batch_id)):
+                log.info("batch %s: landed before", batch_id)
+                return
             log.info("batch %s: wrote %s events to Bronze %s", batch_id, total, counts)
             if summaries is not None:
                 summaries.append((batch_id, total, counts))
@@ -77,7 +86,7 @@ def start(raw_stream: DataFrame, bronze_path: str, checkpoint: str,
     """Start the stream; ``available_now`` drains what is there and stops."""
     w = (
         B.transform(raw_stream, cfg)
-        .writeStream.foreachBatch(batch_writer(bronze_path, cfg, summaries, cache_batches))
+        .writeStream.foreachBatch(batch_writer(bronze_path, cfg, summaries, cache_batches, checkpoint))
         .option("checkpointLocation", checkpoint)
     )
     if available_now:
