@@ -466,3 +466,6 @@ def _bigint_count_if(sql: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {k: _bigint_count_if(WITH + v) for k, v in _Q.items()}
+
+# the same table by its catalog name
+ORACLE_SQL["raw_rides_by_name"] = ORACLE_SQL["raw_upper_columns"]

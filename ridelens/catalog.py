@@ -8,6 +8,7 @@ other engines.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from triplake.operators import raw as R
 from triplake.operators import silver as S
 from triplake.operators import verify as V
 from triplake.plans import jobs
+from triplake.plans import namespaces as ns
 from triplake.plans import pipeline as P
 from triplake.schemas import ENVELOPE_SCHEMA
 from triplake.session import configure, scratch_path
@@ -210,6 +212,14 @@ def raw_upper_columns(spark, sf):
     return jobs.raw_table(spark, fx.gold_lake(spark, sf), "rides")
 
 
+def raw_rides_by_name(spark, sf):
+    """RAW rides as a catalog table, in namespaces of the lake's own."""
+    paths = dataclasses.replace(fx.gold_lake(spark, sf), namespace="lens_")
+    ns.ensure_namespaces(spark, paths)
+    ns.register_raw(spark, paths, dict(zip(ns.RAW_TABLES, jobs.raw_schemas(spark).values())))
+    return spark.table("lens_raw.rides")
+
+
 def raw_daily_load(spark, sf):
     return jobs.raw_table(spark, fx.gold_lake(spark, sf), "daily")
 
@@ -412,7 +422,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         silver_ride_counts, silver_revenue, silver_daily_city_metrics, silver_hourly_requests,
         silver_hourly_demand, silver_peak_hour, silver_daily_one_day, silver_overwrite_one_day,
         silver_empty_day_noop,
-        raw_rides, raw_upper_columns, raw_daily_load, raw_hourly_load,
+        raw_rides, raw_upper_columns, raw_rides_by_name, raw_daily_load, raw_hourly_load,
         seed_load, seed_load_riders, stg_rides, stg_daily_city_metrics, stg_hourly_demand,
         dim_driver, dim_rider, fct_rides, fct_daily_city_metrics, fct_hourly_demand,
         test_unique, test_not_null, test_accepted_values, test_fct_rides_relationships,

@@ -257,3 +257,76 @@ def test_plan_files_are_whole_or_absent(spark, tmp_lake):
     assert files.names(f"{tmp_lake}/none") == [] and files.files(f"{tmp_lake}/none") == []
     with pytest.raises(Exception):
         files.move(f"{tmp_lake}/none", f"{tmp_lake}/b")
+
+
+def test_gate_counts_by_date_equal_the_whole_history(spark, raw_frame, tmp_lake, monkeypatch):
+    from triplake.operators import quality as Q
+    paths, cfg = jobs.LakePaths(tmp_lake), LakeConfig()
+
+    def report():
+        counted = jobs.gate_counts(spark, paths, cfg)
+        bronze, silver = src.read_bronze(spark, paths.bronze), jobs.read_silver_daily(spark, paths)
+        got, want = (_rows(Q.gate_report(bronze, silver, cfg, c)) for c in (counted, None))
+        assert got == want
+        return {str(r.event_date): r.c3 for r in counted.collect()}
+
+    _land(raw_frame, paths, _ride(1, 1, amount=-1.0) + _ride(2, 2))
+    jobs.run_silver(spark, paths, None)
+    assert report() == {"2024-01-01": 1, "2024-01-02": 0}
+    files = {p for p, _ in Files(spark, tmp_lake).files(f"{tmp_lake}/quality/bronze_counts")}
+    _land(raw_frame, paths, _ride(3, 2, amount=-2.0) + _ride(4, 3, amount=0.0))
+    assert report() == {"2024-01-01": 1, "2024-01-02": 1, "2024-01-03": 1}
+    now = {p for p, _ in Files(spark, tmp_lake).files(f"{tmp_lake}/quality/bronze_counts")}
+    assert {p for p in files if "2024-01-01" in p} <= now  # that date was not counted again
+    sink.compact_bronze(spark, paths.bronze)
+    assert report() == {"2024-01-01": 1, "2024-01-02": 1, "2024-01-03": 1}
+    cfg = LakeConfig(valid_cities=("Elsewhere",))
+    assert set(report()) == {"2024-01-01", "2024-01-02", "2024-01-03"}
+
+
+def test_an_interrupted_backfill_goes_on(spark, raw_frame, tmp_lake, monkeypatch):
+    paths = jobs.LakePaths(tmp_lake)
+    _land(raw_frame, paths, [e for d in range(1, 6) for e in _ride(d, d)])
+    plain, calls = sink.replace_date_partitions, []
+
+    def failing(tables, home, state=None):
+        if len(calls) == 2:
+            raise Lost
+        calls.append(state["backfill"]["done"])
+        plain(tables, home, state)
+
+    monkeypatch.setattr(sink, "replace_date_partitions", failing)
+    with pytest.raises(Lost):
+        jobs.backfill_silver(spark, paths, dates_at_once=2)
+    assert jobs.read_silver_daily(spark, paths).count() == 4
+    monkeypatch.setattr(sink, "replace_date_partitions", plain)
+    _land(raw_frame, paths, _ride(7, 2))  # a finished range gets a late ride
+    assert jobs.backfill_silver(spark, paths, dates_at_once=2) == 2  # the range of the second and the last one
+    got = {str(r.event_date): r.total_rides for r in jobs.read_silver_daily(spark, paths).collect()}
+    assert got == {"2024-01-01": 1, "2024-01-02": 2, "2024-01-03": 1, "2024-01-04": 1, "2024-01-05": 1}
+    assert jobs.backfill_silver(spark, paths, dates_at_once=2) == 3  # a new backfill computes all
+
+
+def test_lakes_and_other_owners_keep_their_names(spark, raw_frame, tmp_lake):
+    from triplake.plans import namespaces as ns
+    one, two = (jobs.LakePaths(f"{tmp_lake}/{n}", namespace=f"{n}_") for n in ("one", "two"))
+    for paths, rides in ((one, _ride(1, 1)), (two, _ride(1, 1) + _ride(2, 2))):
+        _seeds(spark, paths)
+        _land(raw_frame, paths, rides)
+        P.run_daily(spark, paths, None)
+    assert [spark.table(f"{n}_gold.fct_rides").count() for n in ("one", "two")] == [1, 2]
+    assert [spark.table(f"{n}_staging.stg_rides").count() for n in ("one", "two")] == [1, 2]
+    P.run_daily(spark, one, None)  # its own names are pointed to its new tables
+    spark.range(3).write.parquet(f"{tmp_lake}/foreign")
+    other = jobs.LakePaths(f"{tmp_lake}/one", namespace="foreign_")
+    ns.ensure_namespaces(spark, other)
+    spark.catalog.createTable("foreign_raw.rides", path=f"{tmp_lake}/foreign", source="parquet")
+    with pytest.raises(ValueError, match="not registered by a lake"):
+        ns.register_raw(spark, other)
+    assert spark.table("foreign_raw.rides").count() == 3
+    spark.sql("DROP TABLE foreign_raw.rides")
+    ns.register_raw(spark, other)
+    spark.sql("CREATE VIEW foreign_staging.stg_rides AS SELECT 1 AS mine")
+    with pytest.raises(ValueError, match="not registered by a lake"):
+        ns.register_staging_views(spark, other)
+    assert spark.table("foreign_staging.stg_rides").columns == ["mine"]

@@ -124,7 +124,7 @@ def main(argv=None, spark=None) -> int:
             schemas = jobs.load_raw(spark, paths)
             ns.ensure_namespaces(spark, paths)
             ns.register_raw(spark, paths, schemas)
-            ns.register_staging_views(spark)
+            ns.register_staging_views(spark, paths)
         elif args.job == "gold":
             from triplake.plans import namespaces as ns
             from triplake.plans import pipeline as P

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from triplake.config import LakeConfig
 from triplake.operators import bronze as B
 from triplake.operators import gold as G
+from triplake.operators import quality as Q
 from triplake.operators import raw as R
 from triplake.operators import silver as S
 from triplake.schemas import DAILY_CITY_METRICS_SCHEMA, HOURLY_DEMAND_SCHEMA, SEED_DRIVERS_SCHEMA, SEED_RIDERS_SCHEMA
@@ -29,6 +30,7 @@ class LakePaths:
     root: str
     bronze_root: str | None = None  # share an already landed Bronze
     silver_root: str | None = None  # Silver elsewhere (holds daily_city_metrics/, hourly_demand/)
+    namespace: str = ""  # prefix of the lake's catalog namespaces
 
     def __getattr__(self, name: str) -> str:  # bronze, silver_daily, raw_rides, ...
         if name.startswith("_"):
@@ -88,6 +90,60 @@ def run_silver(spark: SparkSession, paths: LakePaths, date: str | None = None,
     return True
 
 
+def backfill_silver(spark: SparkSession, paths: LakePaths, dates_at_once: int = 31) -> int:
+    """Recompute Silver for every date in Bronze, some dates at a time; returns how many such ranges this call computed.
+
+    Each range is recorded as done in the same publication as its partitions. A backfill that was interrupted goes on where it
+    stopped; ranges with dates that Bronze has received since are computed again. After the last range the record is cleared.
+    """
+    home = paths.silver_daily.rpartition("/")[0]
+    silver, landed = Publisher(spark, home), Publisher(spark, paths.bronze)
+    silver.recover()
+    bronze = src.read_bronze(spark, paths.bronze)
+    dates = [n.partition("=")[2] for n in silver.files.names(paths.bronze) if n.startswith("event_date=")]
+    state = silver.state()
+    before = state.get("backfill") or {"since": landed.newest(), "done": []}
+    log = landed.log(before["since"])
+    stale = None if log is None else {p.split("/")[0].partition("=")[2] for _, parts in log for p in parts}
+    done = [] if stale is None and before["done"] else [d for d in before["done"] if d not in (stale or ())]
+    since, computed = landed.newest(), 0
+    for k in range(0, len(dates), dates_at_once):
+        own = dates[k:k + dates_at_once]
+        if set(own) <= set(done):
+            continue
+        rows = bronze.filter(F.col("event_date").isin([F.lit(d).cast("date") for d in own]))
+        done = sorted({*done, *own})
+        sink.replace_date_partitions({paths.silver_daily: S.daily_city_metrics(rows), paths.silver_hourly: S.hourly_demand(rows)}, home,
+                                     {**state, "backfill": {"since": since, "done": done}})
+        computed += 1
+    silver.publish(sink.new_key("backfill"), state={**state, "backfill": None}, touched=[])
+    return computed
+
+
+# -- quality gate ------------------------------------------------------------- #
+def gate_counts(spark: SparkSession, paths: LakePaths, cfg: LakeConfig) -> DataFrame:
+    """The Bronze checks' violations, a row a date, kept beside the lake: only dates that received rides are read again.
+
+    All dates are counted anew where the Bronze log cannot tell what changed or the checks are others.
+    """
+    checks = Q.bronze_rides_checks(cfg)
+    landed, quality = Publisher(spark, paths.bronze), Publisher(spark, f"{paths.root}/quality")
+    quality.recover()
+    table, state = f"{paths.root}/quality/bronze_counts", quality.state()
+    upto, named = landed.newest(), repr(checks)
+    log = landed.log(state.get("bronze")) if state.get("checks") == named else None
+    rides = B.slice_type(src.read_bronze(spark, paths.bronze), "ride_ended")
+    if log is not None:
+        touched = {p.split("/")[0].partition("=")[2] for _, parts in log for p in parts if p.endswith("=ride_ended")}
+        rides = rides.filter(F.col("event_date").isin([F.lit(d).cast("date") for d in sorted(touched)]))
+    counts = rides.groupBy("event_date").agg(*Q.violations(checks))
+    key = sink.new_key("counts")
+    staged = {f"{quality.stage(key)}/counts": table}
+    sink.write_table(counts, *staged, ("event_date",))
+    quality.publish(key, **{"replace" if log is None else "replace_parts": staged}, state={"bronze": upto, "checks": named}, touched=[])
+    return spark.read.schema(counts.schema).parquet(table)
+
+
 def read_silver_daily(spark: SparkSession, paths: LakePaths) -> DataFrame:
     """Declared schema: no inference, and a table written empty (only a
     success marker, no data file) reads as empty instead of failing."""

@@ -52,17 +52,17 @@ def run_daily(spark: SparkSession, paths: jobs.LakePaths, date: str | None,
     rep = RunReport(date)
     ns.ensure_namespaces(spark, paths)
 
-    wrote = jobs.run_silver(spark, paths, date)
+    wrote = jobs.run_silver(spark, paths, date) if date or not full else jobs.backfill_silver(spark, paths) > 0
     rep.add("silver_batch", "ok" if wrote else "skipped", "" if wrote else "no Bronze rows")
 
-    # the gate checks the whole history, not just the run's date
+    # the gate covers the whole history, not just the run's date; only dates that received rides are read again
     try:
         bronze = src.read_bronze(spark, paths.bronze)
         silver = jobs.read_silver_daily(spark, paths)
     except src.MissingLayerError as exc:
         rep.add("dq_gate", "failed", str(exc))
         raise
-    report = Q.gate_report(bronze, silver, cfg)
+    report = Q.gate_report(bronze, silver, cfg, None if full else jobs.gate_counts(spark, paths, cfg))
     try:
         Q.enforce(report)
     except Q.DataQualityError as exc:
@@ -72,7 +72,7 @@ def run_daily(spark: SparkSession, paths: jobs.LakePaths, date: str | None,
 
     raw_schemas = jobs.load_raw(spark, paths, incremental=not full)
     ns.register_raw(spark, paths, raw_schemas)
-    ns.register_staging_views(spark)
+    ns.register_staging_views(spark, paths)
     rep.add("load_raw", "ok")
 
     tested_gold(spark, paths, cfg, rep, strict_tests, incremental=not full)
@@ -113,5 +113,5 @@ def _failures(tests: list) -> str:
 
 def backfill(spark: SparkSession, paths: jobs.LakePaths, cfg: LakeConfig = LakeConfig(),
              strict_tests: bool = True) -> RunReport:
-    """Every date found in Bronze, all layers whole."""
+    """Every date found in Bronze, all layers whole. An interrupted one goes on with the dates that Silver still lacks."""
     return run_daily(spark, paths, None, cfg, strict_tests, full=True)

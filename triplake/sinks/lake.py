@@ -78,9 +78,11 @@ def compact_bronze(spark: SparkSession, path: str, before: str | None = None, ta
     return len(wanted)
 
 
-def replace_date_partitions(tables: dict[str, DataFrame], home: str) -> None:
+def replace_date_partitions(tables: dict[str, DataFrame], home: str, state: dict | None = None) -> None:
     """Replace the ``event_date`` partitions that the frames produce, in all the tables (path -> frame) or in none.
 
+    ``state`` becomes the home's state with them.
+
     Aggregated Silver data is small per date, so rows are grouped by date first to write one file per date partition.
     """
     spark = next(iter(tables.values())).sparkSession
@@ -94,7 +96,7 @@ def replace_date_partitions(tables: dict[str, DataFrame], home: str) -> None:
         df.repartition(*SILVER_PARTITIONS).write.partitionBy(*SILVER_PARTITIONS).parquet(f"{stage}/{k}")
     for path in tables:
         publisher.files.fs.mkdirs(publisher.files.path(path))  # an empty result leaves an empty table
-    publisher.publish(key, replace_parts=staged)
+    publisher.publish(key, replace_parts=staged, state=state)
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
