@@ -3,10 +3,9 @@
 1. Each input task folds its own equal texts first, so a group of copies leaves a task as one representative however
    many rows it holds (a group with a third of all rows sends one record per task). Every row remembers its
    representative's id; both go to a table in the shared folder.
-2. Representatives are dealt out by content hash. Spark's shuffle and sort files are the spill files: a task reads its
-   partition in hash order, as nested buckets, and a bucket that outgrows the budget is cut at the next hash digits,
-   again and again, until what is open fits an open-addressing table. The table compares complete contents; the hash
-   only says where to look.
+2. Representatives are dealt out by content hash, once. Spark's shuffle and sort files are the spill files: a task reads its
+   partition in hash order and opens one open-addressing table after the other, each for a run of hashes whose distinct
+   contents fit the budget. The table compares complete contents; the hash only says where to look.
 3. Rows take the verdict of their representative by an equality join whose keys are no hotter than one input task.
 
 Defined results: null text counts as empty; texts are equal when identical after each run of ASCII white space is
