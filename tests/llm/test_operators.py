@@ -239,6 +239,36 @@ def test_exact_dedup_small_tables_and_probing(monkeypatch, spark, docs):
     assert [table.find(7, str(k % 900).encode())[1] for k in range(1800)] == [True] * 900 + [False] * 900
     kept = exact_dedup.first_of_each(docs)
     assert kept.columns == docs.columns and kept.count() == sum(r[3] for r in want)
+    # buckets that do not fit are cut by more digits; rows and carried columns leave a task in small parts
+    whole = sorted(map(str, kept.collect()))
+    for limits in ({"TABLE_BYTES": 3000}, {"TABLE_BYTES": 20_000, "HELD_BYTES": 200, "TABLE_ROWS": 7}):
+        for name, value in limits.items():
+            monkeypatch.setattr(exact_dedup, name, value)
+        assert by_content(map(tuple, exact_dedup.exact_dedup(docs).collect())) == want
+        assert sorted(map(str, exact_dedup.first_of_each(docs).collect())) == whole
+
+
+def test_exact_dedup_cuts_uneven_buckets(monkeypatch, spark):
+    monkeypatch.setattr(exact_dedup, "TABLE_BYTES", 2000)
+    # 40 hashes that share their first 20 digits, one hash of many large contents, and 200 even ones
+    hashes = [(7 << 40) + k for k in range(40)] + [5] * 50 + [k << 55 for k in range(200)]
+    reps = spark.createDataFrame([(k, h, 500) for k, h in enumerate(hashes)], "rep_id long, h long, size long")
+    got = exact_dedup._buckets(reps).collect()
+    size, distinct = collections.Counter(), collections.defaultdict(set)
+    for x in got:
+        size[x.bucket] += x.size
+        distinct[x.bucket].add(x.h)
+    assert len(got) == len(hashes) and len({x.depth for x in got}) > 1
+    assert all(size[b] <= 2000 or len(distinct[b]) == 1 for b in size)
+    assert len({x.bucket for x in got if x.h == 5}) == 1
+
+
+def test_exact_dedup_takes_millions_of_equal_rows(spark):
+    rows = spark.range(0, 1_000_000, 1, 2).selectExpr("IF(id % 3 = 0, NULL, id) AS doc_id", "IF(id % 5 = 0, NULL, ' ') AS text", "id AS n_words")
+    got = exact_dedup.first_of_each(rows).collect()
+    assert sorted((x.doc_id, x.text) for x in got) == [(1, " "), (5, None)]
+    counts = exact_dedup.exact_dedup(rows).groupBy("keep_id", "group_size", "kept").count().collect()
+    assert sorted(map(tuple, counts)) == [(1, 800_000, False, 799_999), (1, 800_000, True, 1), (5, 200_000, False, 199_999), (5, 200_000, True, 1)]
 
 
 def test_separator_scan_over_small_blocks(spark, folder):
