@@ -418,6 +418,25 @@ def test_values_side_by_side_are_each_found():
         assert found["phone"] == 0 and found["card"] == (1 if "123" in text else found["card"])
 
 
+def test_pseudonyms_over_a_table(spark, docs):
+    rows = docs.select("doc_id", "text").collect()
+    p = pii_pseudonyms.Permutation(b"k")
+    want, found = collections.Counter(), collections.Counter()
+    for doc_id, text in map(tuple, rows):
+        new, counts = (None, {}) if text is None else pii_pseudonyms.pseudonymise(text, p)
+        want[doc_id, new, *(counts.get(k, 0) for k in pii_pseudonyms.KINDS)] += 1
+        found.update(counts)
+    assert collections.Counter(map(tuple, pii_pseudonyms.pii_pseudonyms(docs, b"k").collect())) == want
+    assert len(found) > 2
+
+
+def test_percent_encoded_text_is_read_once():
+    p = pii_pseudonyms.Permutation(b"k")
+    text = "a%20b%3Dc%26" * 60_000  # 720,000 characters
+    new, found = pii_pseudonyms.pseudonymise(text + " to a.b@c.org " + "x" * 65 + "@c.org", p)
+    assert found == {"email": 1} and new == text + " to " + pii_pseudonyms.pseudonym("email", "a.b@c.org", p) + " " + "x" * 65 + "@c.org"
+
+
 def test_mixing_meets_targets_and_learns(spark):
     r = random.Random(3)
     data = []

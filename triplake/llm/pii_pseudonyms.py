@@ -7,7 +7,8 @@ reversible with the key, and two equal values get the same one wherever they sta
 
 Values that stand side by side (a row of a table, a list) may look like one: all ways to read such a run are compared, and
 only valid values count. Phone numbers have no check digit, so digits that blanks cut evenly (``4111 1111 1111 1112``)
-are not taken for one where more such digits follow.
+are not taken for one where more such digits follow. What stands before an e-mail's @ has at most 64 characters, as the mail
+standard has it. Whether a string is a value is decided first; only values that are replaced are permuted.
 
 Defined results: null text stays null; texts without personal data stay as they are; repeated rows are treated each; an
 empty table gives an empty table; other columns are not read.
@@ -37,7 +38,7 @@ ROUNDS = 10
 KINDS = ("email", "iban", "card", "ssn", "ip", "date", "phone")
 
 PATTERN = re.compile(r"""
-    (?P<email>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})
+    (?P<email>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})
   | (?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w))
   | (?P<card>(?<![\w.-])\d(?:[\x20-]?\d){12,18}(?![\w-]))
   | (?P<ssn>(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-]))
@@ -51,13 +52,21 @@ FORMS = {kind: re.compile(re.sub(r"\(\?(?:<!|!)(?:\[[^]]*\]|\\w)(?:\|\\.\\d)?\)"
          for kind, x in STRICT.items()}
 BEFORE = {kind: re.compile(x, re.ASCII) for kind, x in zip(KINDS, (r"[\w.+-]", r"\w", r"[\w.-]", r"[\w.-]", r"[\w.]", r"[\w./-]", r"[\w.+-]"))}
 AFTER = {kind: re.compile(x, re.ASCII) for kind, x in zip(KINDS, (r"(?!)", r"\w", r"[\w-]", r"[\w-]", r"\w|\.\d", r"[\w/-]", r"[\w-]"))}
-_WORD = re.compile(r"\w", re.ASCII)
+_WORD = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_")
+# Characters that a value of the kind has at least.
+LEAST = {"iban": 12, "card": 13, "ssn": 11, "ip": 7, "date": 8, "phone": 8}
+# What a kind's first digits look like: how many there are, and what may follow them.
+SHAPES = (("card", 1, 12, " -"), ("ssn", 3, 3, "-"), ("ip", 1, 3, "."), ("date", 4, 4, "-"),
+          ("date", 1, 2, "/."), ("phone", 2, 4, " .-"))
+DIGITS = re.compile(r"\d+", re.ASCII)
 START = re.compile(r"(?<!\w)[A-Za-z0-9+(]", re.ASCII)
 # What may precede a phone number's own digits; digits that follow over single marks (values side by side are read together).
 LEAD = re.compile(r"(?:\+\d{1,3}[\x20.-]?)?(?:\(\d{2,4}\)[\x20.-]?)?", re.ASCII)
 JOINED = re.compile(r"(?:[\x20./-]?[+(]{0,2}\d++\)?)*", re.ASCII)
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 _LOCAL = "abcdefghijklmnopqrstuvwxyz0123456789"
+_MARKS = dict.fromkeys(map(ord, " ./()+-"))  # what may stand between a value's digits
+_DOUBLED = {48 + d: 2 * d - 9 * (d > 4) for d in range(10)}  # by a digit's character code
 
 
 class Permutation:
@@ -94,11 +103,8 @@ class Permutation:
 
 
 def luhn(digits: str) -> bool:
-    s = 0
-    for k, c in enumerate(reversed(digits)):
-        d = int(c) * (1 + k % 2)
-        s += d - 9 * (d > 9)
-    return s % 10 == 0
+    own = digits.encode()
+    return (sum(own[-1::-2]) - 48 * len(own[-1::-2]) + sum(map(_DOUBLED.__getitem__, own[-2::-2]))) % 10 == 0
 
 
 def _iban_digits(s: str) -> int:
@@ -116,8 +122,41 @@ def _ssn_ok(n: int) -> bool:
     return area not in (0, 666) and area < 900 and group > 0 and serial > 0
 
 
+def _day(s: str) -> tuple[int, bool] | None:
+    """A date's ordinal, and whether its month comes first; None outside the calendar's range."""
+    year_first = s[4:5] == "-"
+    mark = "-" if year_first else "/" if "/" in s else "."
+    x = [int(v) for v in s.split(mark)]
+    month_first = mark == "/" and x[1] > 12
+    y, m, d = x if year_first else (x[2], x[0], x[1]) if month_first else (x[2], x[1], x[0])
+    try:
+        day = dt.date(y, m, d).toordinal()
+    except ValueError:
+        return None
+    return (day, month_first) if FIRST_DAY <= day <= LAST_DAY else None
+
+
+def valid(kind: str, s: str) -> bool:
+    """Whether a string of this kind's form is a value."""
+    if kind == "email":
+        return True
+    if kind == "ip":
+        return max(map(int, s.split("."))) <= 255
+    if kind == "date":
+        return _day(s) is not None
+    if kind == "iban":
+        flat = s.replace(" ", "")
+        return 15 <= len(flat) <= 34 and _iban_digits(flat) % 97 == 1
+    digits = s.translate(_MARKS)
+    if kind == "card":
+        return luhn(digits) and len(set(digits)) > 1
+    return _ssn_ok(int(digits)) if kind == "ssn" else 9 <= len(digits) <= 15
+
+
 def pseudonym(kind: str, s: str, p: Permutation, back: bool = False) -> str | None:
     """The value's pseudonym (with ``back`` the value of a pseudonym); None if the string is no valid value."""
+    if not valid(kind, s):
+        return None
     if kind == "email":
         local, _, domain = s.partition("@")
         own = [c for c in local.lower() if c in _LOCAL]
@@ -132,45 +171,27 @@ def pseudonym(kind: str, s: str, p: Permutation, back: bool = False) -> str | No
         it = reversed(out)
         return "".join(next(it) if c.lower() in _LOCAL else c for c in local) + "@" + domain
     if kind == "ip":
-        octets = [int(x) for x in s.split(".")]
-        if max(octets) > 255:
-            return None
-        n = p.of(int.from_bytes(bytes(octets), "big"), 1 << 32, "ip", back)
+        n = p.of(int.from_bytes(bytes(map(int, s.split("."))), "big"), 1 << 32, "ip", back)
         return ".".join(map(str, n.to_bytes(4, "big")))
     if kind == "date":
         year_first = s[4:5] == "-"
         mark = "-" if year_first else "/" if "/" in s else "."
-        x = [int(v) for v in s.split(mark)]
-        month_first = mark == "/" and x[1] > 12
-        y, m, d = x if year_first else (x[2], x[0], x[1]) if month_first else (x[2], x[1], x[0])
-        try:
-            day = dt.date(y, m, d).toordinal()
-        except ValueError:
-            return None
-        if not FIRST_DAY <= day <= LAST_DAY:
-            return None
+        day, month_first = _day(s)
         new = dt.date.fromordinal(FIRST_DAY + p.of(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date", back))
         if year_first:
             return new.isoformat()
         return (f"{new.month:02}/{new.day:02}" if month_first else f"{new.day:02}{mark}{new.month:02}") + f"{mark}{new.year}"
     digits = re.sub(r"\D", "", s)
     if kind == "card":
-        if not luhn(digits) or len(set(digits)) == 1:
-            return None
         body = str(p.of(int(digits[:-1]), 10 ** (len(digits) - 1), f"card{len(digits)}", back)).zfill(len(digits) - 1)
         return _refit(s, body + next(c for c in "0123456789" if luhn(body + c)))
     if kind == "ssn":
-        n = int(digits)
-        if not _ssn_ok(n):
-            return None
-        n = p.of(n, 10 ** 9, "ssn", back)
+        n = p.of(int(digits), 10 ** 9, "ssn", back)
         while not _ssn_ok(n):
             n = p.of(n, 10 ** 9, "ssn", back)
         return _refit(s, str(n).zfill(9))
     if kind == "iban":
         flat = s.replace(" ", "")
-        if not 15 <= len(flat) <= 34 or _iban_digits(flat) % 97 != 1:
-            return None
         # letters stay, the account's digits are permuted, the two check digits follow
         own = "".join(c for c in flat[4:] if c.isdigit())
         new = iter(str(p.of(int(own or 0), 10 ** len(own), f"iban{flat[:2]}{len(own)}", back)).zfill(len(own)))
@@ -178,8 +199,6 @@ def pseudonym(kind: str, s: str, p: Permutation, back: bool = False) -> str | No
         whole = flat[:2] + f"{98 - _iban_digits(flat[:2] + '00' + body) % 97:02}" + body
         it = iter(whole)
         return "".join(" " if c == " " else next(it) for c in s)
-    if not 9 <= len(digits) <= 15:
-        return None
     lead = re.match(r"\+\d{1,3}(?=[\x20.(-])", s)  # the country code stays
     keep = len(re.sub(r"\D", "", lead.group())) if lead else 0
     own = digits[keep:]
@@ -187,27 +206,43 @@ def pseudonym(kind: str, s: str, p: Permutation, back: bool = False) -> str | No
     return _refit(s, digits[:keep] + new)
 
 
-def _read(text: str, s: int, p: Permutation) -> tuple[list[tuple], int]:
-    """Valid values that start at ``s``, as (start, end, kind, pseudonym, start stands free, end stands free), and how far any form reaches."""
+def _forms(text: str, s: int) -> tuple[str, ...]:
+    """The kinds whose form may start at ``s``, by its first characters."""
+    mail = ("email",) if "@" in text[s:s + 65] else ()
+    c = text[s]
+    if c.isdigit():
+        run = DIGITS.match(text, s).end()
+        n, mark = run - s, text[run:run + 1]
+        return mail + (("card",) if n > 12 else ()) + tuple(
+            kind for kind, least, most, marks in SHAPES if least <= n <= most and mark and mark in marks)
+    return ("phone",) if c in "+(" else mail + ("iban",) if "A" <= c <= "Z" else mail
+
+
+def _read(text: str, s: int) -> tuple[list[tuple], int]:
+    """Valid values that start at ``s``, as (start, end, kind, start stands free, end stands free), and how far any form reaches."""
     found, reach = [], s
-    for kind, form in FORMS.items():
+    if s and text[s - 1] in _WORD:
+        return found, reach
+    for kind in _forms(text, s):
+        form = FORMS[kind]
         m = form.match(text, s)
-        if m is None or (s and _WORD.match(text[s - 1])):
+        if m is None:
             continue
         reach = max(reach, m.end())
-        bounds = range(m.end(), m.end() - 1, -1) if kind == "email" else range(m.end(), s, -1)
-        strict = STRICT[kind].match(text, s)
+        bounds = range(m.end(), m.end() - 1, -1) if kind == "email" else range(m.end(), s + LEAST[kind] - 1, -1)
+        strict = STRICT[kind].match(text, s) if kind == "phone" else None
         for e in bounds:
-            if _WORD.match(text, e) or not _WORD.match(text[e - 1]) or not form.fullmatch(text, s, e):
-                continue
-            new = pseudonym(kind, text[s:e], p)
-            if new is None:
+            if text[e:e + 1] in _WORD or text[e - 1] not in _WORD or not _holds(form, kind, text, s, e):
                 continue
-            found.append((s, e, kind, new, BEFORE[kind].match(text[s - 1:s]) is None,
+            found.append((s, e, kind, BEFORE[kind].match(text[s - 1:s]) is None,
                           AFTER[kind].match(text, e) is None and (kind != "phone" or _apart(text, s, e, e) or strict is not None and strict.end() == e)))
     return found, reach
 
 
+def _holds(form: re.Pattern, kind: str, text: str, s: int, e: int) -> bool:
+    return form.fullmatch(text, s, e) is not None and valid(kind, text[s:e])
+
+
 def _apart(text: str, s: int, e: int, edge: int) -> bool:
     """Whether a phone number's edge is no mark that also stands between its own digits with more digits behind."""
     mark, digit = (text[e:e + 1], text[e + 1:e + 2]) if edge == e else (text[max(s - 1, 0):s], text[max(s - 2, 0):max(s - 1, 0)])
@@ -218,7 +253,7 @@ def _shape(value: str) -> tuple[int, ...]:
     return tuple(len(x) for x in re.findall(r"\d+", value))
 
 
-def _values(text: str, a: int, p: Permutation) -> tuple[list[tuple], int]:
+def _values(text: str, a: int) -> tuple[list[tuple], int]:
     """The values of the run of adjacent forms that starts at ``a``, and the run's end.
 
     Of all ways to read the run the one with most characters in kinds of a strict form wins, then in cards and phone numbers
@@ -230,14 +265,14 @@ def _values(text: str, a: int, p: Permutation) -> tuple[list[tuple], int]:
     while (m := START.search(text, at)) and (m.start() <= a or m.start() < run):
         s = m.start()
         at = s + 1
-        found, reach = _read(text, s, p)
+        found, reach = _read(text, s)
         if max(reach, m.end()) > run:
             run = JOINED.match(text, max(reach, m.end())).end()
         while waiting and waiting[0][0] <= s:
             _, _, chain = heapq.heappop(waiting)
             free = max(free, chain, key=lambda x: x[0])
         for value in found:
-            _, e, kind, _, left, right = value
+            _, e, kind, left, right = value
             left &= kind != "phone" or s == a or _apart(text, s, e, s)
             size = sum(c.isalnum() for c in text[s:e])
             loose = kind in ("card", "phone")
@@ -246,7 +281,7 @@ def _values(text: str, a: int, p: Permutation) -> tuple[list[tuple], int]:
             before = [free] if left else []
             for chain in by_end.get(s - 1, ()):
                 last = chain[1][0]
-                if left and last[5] or _side_by_side(text, last, value):
+                if left and last[4] or _side_by_side(text, last, value):
                     before.append(chain)
             if not before:
                 continue
@@ -268,7 +303,7 @@ def _side_by_side(text: str, x: tuple, y: tuple) -> bool:
     if x[2] != "phone" or y[2] != "phone":
         return True
     one, two = _shape(text[x[0]:x[1]]), _shape(text[y[0]:y[1]])
-    return x[5] or one == two and len(set(one)) > 1
+    return x[4] or one == two and len(set(one)) > 1
 
 
 def pseudonymise(text: str, p: Permutation) -> tuple[str, Counter]:
@@ -277,11 +312,11 @@ def pseudonymise(text: str, p: Permutation) -> tuple[str, Counter]:
     out, done, at = [], 0, 0
     while m := PATTERN.search(text, at):
         if m.lastgroup == "email":
-            values, at = [(*m.span(), "email", pseudonym("email", m.group(), p))], m.end()
+            values, at = [(*m.span(), "email")], m.end()
         else:
-            values, at = _values(text, m.start(), p)
-        for s, e, kind, new, *_ in values:
-            out += [text[done:s], new]
+            values, at = _values(text, m.start())
+        for s, e, kind, *_ in values:
+            out += [text[done:s], pseudonym(kind, text[s:e], p)]
             done = e
             counts[kind] += 1
         at = max(at, done)
