@@ -454,6 +454,46 @@ def test_mixing_meets_targets_and_learns(spark):
     assert abs((got.rate * got.n_tokens * got.p_clean).sum() / total - source_mixing.TARGET_WEIGHTS["clean"]) < 0.02
 
 
+def test_mixing_keeps_clean_documents_of_a_clean_corpus(spark):
+    r = random.Random(4)
+    data = []
+    for k in range(1200):
+        kind = 2 if k % 120 == 0 else 1 if k % 120 == 1 else 0
+        w = [f"w{r.randrange(300)}" + ("###" if kind == 1 else "") for _ in range(60)] + (["vileword"] * 3 if kind == 2 else [])
+        data.append((k, " ".join(w), kind))
+    frame = spark.createDataFrame(data, "doc_id long, text string, kind int")
+    labels = frame.selectExpr("doc_id", "int(kind != 1) AS quality", "int(kind = 2) AS toxic")
+    got = source_mixing.source_mixing(frame, labels).toPandas().merge(frame.toPandas()[["doc_id", "kind"]], on="doc_id")
+    assert (got[got.kind == 0].copies >= 1).mean() > 0.999 and (got[got.kind == 2].copies == 0).all()
+
+
+def test_rates_equal_direct_least_squares(spark):
+    r = random.Random(9)
+    rows = []
+    for k in range(60):
+        e = [r.random() ** 3 for _ in range(3)]
+        rows.append((k, r.randrange(1, 400), *(x / sum(e) for x in e)))
+    weights = {"clean": 0.8, "low": 0.15, "toxic": 0.05}
+    points = spark.createDataFrame(rows, "doc_id long, n_tokens long, p0 double, p1 double, p2 double")
+    got = source_mixing.rates(points, weights, rounds=400, tolerance=1e-7).orderBy("doc_id").toPandas().rate.to_numpy()
+    # the same objective, minimised one rate at a time until nothing moves
+    n = np.array([x[1] for x in rows], float)
+    p = np.array([x[2:] for x in rows])
+    have = n @ p
+    target = np.array([weights[k] for k in source_mixing.DOMAINS]) * max(n.sum(), have[0] / weights["clean"])
+    rate = np.ones(60)
+    for _ in range(5000):
+        before = rate.copy()
+        for d in range(60):
+            own = n[d] * p[d]
+            rest = (n * rate) @ p - own * rate[d] - target
+            curve = (own * own / have).sum() + source_mixing.RIDGE * n[d]
+            rate[d] = max(0.0, (source_mixing.RIDGE * n[d] - (own * rest / have).sum()) / curve)
+        if np.abs(rate - before).max() < 1e-12:
+            break
+    assert (rate == 0).any() and np.abs(rate - got).max() < 1e-3
+
+
 def test_copies_go_to_the_row_they_were_computed_for(spark):
     r = random.Random(8)
     data = []

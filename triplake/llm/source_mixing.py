@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from triplake.llm import store
 
 DOMAINS = ("clean", "low", "toxic")
-# Shares of all tokens that each domain gets in the mix.
+# Shares of the mix's tokens that each domain gets. The mix has as many tokens as the documents have, or as many more as
+# leave the domains in WHOLE all of theirs: a corpus with a larger share of clean text than its weight loses none of it.
+WHOLE = ("clean",)
 TARGET_WEIGHTS = {"clean": 0.94, "low": 0.06, "toxic": 0.0}
 TRAIN_DOCS = 20_000
 LEAST_DOCS = 5
@@ -107,7 +109,7 @@ def rates(points: DataFrame, weights: dict[str, float] = TARGET_WEIGHTS, rounds:
         return [float(x or 0.0) for x in row]
 
     have = totals(F.lit(1.0))
-    all_ = sum(have)
+    all_ = max([sum(have), *(n / weights[name] for n, name in zip(have, DOMAINS) if name in WHOLE and weights[name] > 0)])
     want = [weights[name] * all_ for name in DOMAINS]
     rate, now = F.col("rate"), have
     for turn in range(rounds):
