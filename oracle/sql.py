@@ -332,6 +332,8 @@ def _lake_counts(daily: str, hourly: str) -> list[tuple[str, str, str]]:
 
 
 PIPELINE_DAY = "DATE '2024-01-15'"
+ALL_DRIVERS = """(SELECT driver_id FROM o_dim_driver UNION
+    SELECT driver_id FROM o_bronze WHERE driver_id IS NOT NULL)"""
 
 _Q = {
     # ---------------------------------------------------------------- Bronze
@@ -349,6 +351,7 @@ _Q = {
     "bronze_stream_land": BRONZE_ROWS,
     "bronze_stream_resume": """SELECT event_type, COUNT(*) AS "rows", COUNT(DISTINCT event_id) AS distinct_events
         FROM o_bronze GROUP BY event_type""",
+    "bronze_batch_summary": "SELECT event_type, COUNT(*) AS landed, COUNT(*) AS summarised FROM o_bronze GROUP BY event_type",
     # ---------------------------------------------------------------- Silver
     "silver_ride_counts": "SELECT event_date, city, total_rides, avg_duration_min FROM o_daily WHERE total_rides > 0",
     "silver_revenue": "SELECT event_date, city, revenue_pkr, paid_rides FROM o_daily WHERE paid_rides > 0",
@@ -447,6 +450,10 @@ _Q = {
     "pipeline_backfill": _counts(
         [("silver", "daily_city_metrics", "o_daily"), ("silver", "hourly_demand", "o_hourly")]
         + _lake_counts("o_daily", "o_hourly")),
+    "pipeline_strict": _counts(
+        [("silver", "daily_city_metrics", "o_daily"), ("silver", "hourly_demand", "o_hourly")]
+        + [(layer, name, ALL_DRIVERS if name == "dim_driver" else sql)
+           for layer, name, sql in _lake_counts("o_daily", "o_hourly")]),
 }
 
 def _bigint_count_if(sql: str) -> str:

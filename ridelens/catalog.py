@@ -157,6 +157,19 @@ def bronze_stream_resume(spark, sf):
     )
 
 
+def bronze_batch_summary(spark, sf):
+    """Cached micro-batches: what the batches' summaries counted beside what landed, per event type."""
+    root = scratch_path(spark, "cached")
+    batches: list = []
+    bronze_stream.run_available(
+        bus.file_stream(spark, fx.topic(spark, sf), max_files_per_trigger=_par(spark)),
+        f"{root}/bronze", f"{root}/_checkpoint", LENS_CONFIG, summaries=batches, cache_batches=True)
+    counted = [(t, n) for _, _, counts in batches for t, n in counts]  # at most six types a batch
+    summarised = spark.createDataFrame(counted, "event_type string, n long").groupBy("event_type").agg(F.sum("n").alias("summarised"))
+    landed = B.event_counts(src.read_bronze(spark, f"{root}/bronze")).withColumnRenamed("count", "landed")
+    return landed.join(summarised, "event_type", "full")
+
+
 # -- Silver -------------------------------------------------------------------- #
 def silver_ride_counts(spark, sf):
     return S.ride_counts(_bronze(spark, sf))
@@ -384,6 +397,10 @@ def _pipeline(spark, sf, date, name):
     fx.copy_seeds(spark, base, paths)
     # the given tables have rides of drivers without master data: their relationship test is a warning here
     rep = P.run_daily(spark, paths, date, LENS_CONFIG, strict_tests=False)
+    return _report(spark, paths, rep)
+
+
+def _report(spark, paths, rep):
     if not rep.ok:
         raise RuntimeError(f"pipeline failed: {rep.steps}")
     tables = {("silver", "daily_city_metrics"): jobs.read_silver_daily(spark, paths),
@@ -400,6 +417,14 @@ def pipeline_backfill(spark, sf):
     return _pipeline(spark, sf, None, "backfill")
 
 
+def pipeline_strict(spark, sf):
+    """The whole history with strict table tests, over master data that has every driver Bronze names."""
+    base = fx.bronze_lake(spark, sf)
+    paths = fx.fresh_lake(spark, sf, "strict")
+    fx.copy_seeds(spark, base, paths, complete=True)
+    return _report(spark, paths, P.backfill(spark, paths, LENS_CONFIG))
+
+
 def _configured(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Apply the job settings (UTC, dynamic overwrite, AQE) before the query
     is built, whatever session the caller hands in."""
@@ -418,7 +443,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         bronze_parse, bronze_clean, bronze_city_tag, bronze_duration, bronze_metadata,
         bronze_roundtrip, bronze_event_counts, bronze_slice_by_type,
-        bronze_stream_land, bronze_stream_resume,
+        bronze_stream_land, bronze_stream_resume, bronze_batch_summary,
         silver_ride_counts, silver_revenue, silver_daily_city_metrics, silver_hourly_requests,
         silver_hourly_demand, silver_peak_hour, silver_daily_one_day, silver_overwrite_one_day,
         silver_empty_day_noop,
@@ -430,6 +455,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         verify_row_counts, verify_orphans, verify_preview,
         bi_kpis, bi_revenue_by_vehicle, bi_revenue_by_segment, bi_demand_by_hour,
         bi_driver_performance,
-        pipeline_daily, pipeline_backfill,
+        pipeline_daily, pipeline_backfill, pipeline_strict,
     )
 }

@@ -94,9 +94,12 @@ def gold_lake(spark: SparkSession, sf_dir: str) -> jobs.LakePaths:
     return _DONE[k]
 
 
-def copy_seeds(spark: SparkSession, src: jobs.LakePaths, dst: jobs.LakePaths) -> None:
-    """Give a fresh lake its own seed files (read from the shared ones)."""
+def copy_seeds(spark: SparkSession, src: jobs.LakePaths, dst: jobs.LakePaths, complete: bool = False) -> None:
+    """Give a fresh lake its own seed files (read from the shared ones); ``complete`` adds the drivers that only Bronze names."""
     from triplake.sinks.lake import write_seed
     from triplake.sources import lake as rd
-    write_seed(rd.read_seed_drivers(spark, src.seed_drivers), dst.seed_drivers)
+    drivers = rd.read_seed_drivers(spark, src.seed_drivers)
+    if complete:
+        drivers = drivers.unionByName(lens.unlisted_drivers(rd.read_bronze(spark, src.bronze), drivers))
+    write_seed(drivers, dst.seed_drivers)
     write_seed(rd.read_seed_riders(spark, src.seed_riders), dst.seed_riders)

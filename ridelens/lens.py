@@ -228,6 +228,14 @@ def seed_drivers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
+def unlisted_drivers(bronze: DataFrame, drivers: DataFrame) -> DataFrame:
+    """Seed rows of the drivers that events name and master data lacks: id and first day, the rest unknown."""
+    seen = bronze.where("driver_id IS NOT NULL").groupBy("driver_id").agg(F.min("event_date").alias("joined_date"))
+    rows = seen.join(drivers.select("driver_id"), "driver_id", "left_anti")
+    return rows.select(*(F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in drivers.schema.fields))
+
+
 def seed_riders(customer: DataFrame) -> DataFrame:
     """Rider master data in the seed-file layout."""
     k = F.col("c_custkey")
