@@ -5,7 +5,7 @@
    representative's id; both go to a table in the shared folder. A task holds at most ``TABLE_BYTES`` of distinct contents,
    ``HELD_BYTES`` of carried columns and ``TABLE_ROWS`` rows at a time.
 2. Representatives are partitioned by the first digits of their content hash, as many as make an even bucket half as large
-   as a table may be. A bucket that is larger than ``TABLE_BYTES`` is partitioned by the next digits, again and again, until
+   as a table may be, and enough to fill the tasks evenly. A bucket that is larger than ``TABLE_BYTES`` is partitioned by the next digits, again and again, until
    each of its parts fits or holds one hash alone; this looks at hashes and sizes only, so contents move once, when each
    bucket's depth is known. Spark's shuffle and sort files are the spill files. A task opens one open-addressing table after
    the other, one a bucket. The table compares complete contents; the hash only says where to look.
@@ -37,6 +37,7 @@ HELD_BYTES = 64 << 20
 TABLE_ROWS = 1 << 18
 ENTRY_BYTES = 100  # an entry's own, beside its content
 HASH_BITS = 63
+BUCKETS_A_TASK = 16  # at least, so that tasks are even
 DIGIT_BITS = 4  # a bucket that does not fit is cut into 2**DIGIT_BITS
 _NO_ID = np.iinfo(np.int64).max
 
@@ -258,7 +259,8 @@ def _buckets(reps: DataFrame) -> DataFrame:
     """``reps`` (h, size, ...) with the ``bucket`` of each: the number of hash digits it is cut by and their value."""
     spark = reps.sparkSession
     total = reps.agg(F.sum("size")).first()[0] or 0
-    first = min(HASH_BITS, max(0, (2 * total // TABLE_BYTES).bit_length()))
+    width = store.default_width(spark)
+    first = min(HASH_BITS, max((2 * total // TABLE_BYTES).bit_length(), (BUCKETS_A_TASK * width).bit_length()))
     reps = reps.withColumn("root", F.expr(f"shiftright(h, {HASH_BITS - first})"))
     bits, open_, too_big = first, reps.select("root", "h", "size"), None
     while True:
@@ -276,7 +278,7 @@ def _buckets(reps: DataFrame) -> DataFrame:
         reps = reps.join(store.maybe_broadcast(cut), "root", "left")
         depth = F.least(F.lit(HASH_BITS), F.lit(first) + DIGIT_BITS * F.coalesce(F.col("cuts"), F.lit(0))).cast("int")
     reps = reps.withColumn("depth", depth).withColumn("bucket", F.expr(f"concat(depth, ':', shiftright(h, {HASH_BITS} - depth))"))
-    return reps.repartition(store.default_width(spark), "bucket").sortWithinPartitions("h")
+    return reps.repartition(width, "bucket").sortWithinPartitions("h")
 
 
 def _dealt(folded: DataFrame, payload: list[str]) -> DataFrame:
