@@ -9,7 +9,7 @@ so the work is a narrow map over ``events`` that grows linearly with it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.config import LakeConfig
@@ -55,6 +55,8 @@ LENS_STRICT_CONFIG = LakeConfig(
 )
 
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+# Events (rides) a task expands: about five messages each.
+ROWS_PER_TASK = 200_000
 
 
 def _pick(values, idx: Column) -> Column:
@@ -65,23 +67,26 @@ def _str(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread ``df`` over the session's parallelism when its scan has
-    fewer partitions than that (a small file with one row group is one
-    task). A large input already has enough splits and is left alone."""
+def parallelism(spark: SparkSession) -> int:
     try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001 - remote sessions expose neither; leave as is
-        return df
-    return df.repartition(target, key)
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - remote session
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
-def rides(events: DataFrame, region: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str, least: int = 1) -> DataFrame:
+    """Hash-spread ``df`` over the session's parallelism, ``least`` tasks or
+    one per ``ROWS_PER_TASK`` rows, whichever is more. A scan's splits do not
+    do that: they are cut by bytes, and all but the one that holds a row
+    group's middle are empty. The rows are counted from the file footers."""
+    tasks = max(parallelism(df.sparkSession), least, -(-df.count() // ROWS_PER_TASK))
+    return df.repartition(tasks, *keys)
+
+
+def rides(events: DataFrame, region: DataFrame, least_tasks: int = 1) -> DataFrame:
     """One row per ride with every attribute the lifecycle events carry."""
     reg = region.select("r_regionkey", "r_name")
-    events = spread(events.select("event_id", "ts", "user_id", "event_type", "value"), "event_id")
+    events = spread(events.select("event_id", "ts", "user_id", "event_type", "value"), "event_id", "ts", least=least_tasks)
     n = F.col("event_id")
     dd = F.lit(50) + n % 401  # duration in tenths of a minute
     cancelled = (F.col("event_type") == "error") & (n % 5 < 2)
@@ -184,13 +189,13 @@ JSON_FIELDS = (
 )
 
 
-def envelopes(events: DataFrame, region: DataFrame) -> DataFrame:
+def envelopes(events: DataFrame, region: DataFrame, least_tasks: int = 1) -> DataFrame:
     """Bus messages ``key, value, timestamp`` for every lifecycle event.
 
     ``to_json`` omits null fields, like the producer, which only writes the
     fields an event type carries.
     """
-    f = event_fields(rides(events, region))
+    f = event_fields(rides(events, region, least_tasks))
     value = F.when(F.col("n") % FAULT_NOT_JSON == 7, F.lit("not json")).otherwise(
         F.to_json(F.struct(*JSON_FIELDS))
     )

@@ -124,3 +124,29 @@ def test_registration_leaves_managed_tables_alone(spark, tmp_lake):
     ns._register(spark, "kept_by_user.other", f"{tmp_lake}/rides")
     ns._register(spark, "kept_by_user.other", f"{tmp_lake}/rides")
     assert spark.table("kept_by_user.other").count() == 5
+
+
+def _events(spark, n):
+    return spark.range(n).select(
+        F.col("id").alias("event_id"), F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 7).alias("user_id"), F.lit("view").alias("event_type"), F.rand(1).alias("value"))
+
+
+def test_rides_of_one_row_group_are_dealt_evenly(spark, tmp_lake, monkeypatch):
+    """A file of one row group has many splits by its bytes and one that holds rows."""
+    from ridelens import lens
+
+    _events(spark, 20000).coalesce(1).write.parquet(f"{tmp_lake}/events")
+    region = spark.createDataFrame([(0, "AFRICA")], "r_regionkey int, r_name string")
+    prev = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in prev:
+        spark.conf.set(k, "4096")
+    try:
+        rides = lens.rides(spark.read.parquet(f"{tmp_lake}/events"), region)
+        largest = max(r["count"] for r in rides.groupBy(F.spark_partition_id()).count().collect())
+        assert largest < 20000 / 2
+        monkeypatch.setattr(lens, "ROWS_PER_TASK", 1000)
+        assert lens.rides(spark.read.parquet(f"{tmp_lake}/events"), region).rdd.getNumPartitions() == 20
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
