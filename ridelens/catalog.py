@@ -124,18 +124,15 @@ def bronze_slice_by_type(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _par(spark) -> int:
-    return fx.parallelism(spark)
-
-
 def bronze_stream_land(spark, sf):
     """Topic files -> stream (two micro-batches) -> fresh Bronze, read back.
 
-    Each micro-batch takes one file per core, so it runs all its tasks at once.
+    Each micro-batch takes half the files, one per core at least.
     """
     root = scratch_path(spark, "stream")
+    topic = fx.topic(spark, sf)
     bronze_stream.run_available(
-        bus.file_stream(spark, fx.topic(spark, sf), max_files_per_trigger=_par(spark)),
+        bus.file_stream(spark, topic, max_files_per_trigger=fx.files_per_batch(spark, topic)),
         f"{root}/bronze", f"{root}/_checkpoint", LENS_CONFIG)
     return _bronze_rows(src.read_bronze(spark, f"{root}/bronze"))
 
@@ -146,10 +143,10 @@ def bronze_stream_resume(spark, sf):
     topic = f"{root}/topic"
     env = spark.read.schema(ENVELOPE_SCHEMA).parquet(fx.topic(spark, sf))
     split = F.col("timestamp") < F.lit(STREAM_SPLIT_AT).cast("timestamp")
-    env.filter(split).repartition(_par(spark)).write.mode("append").parquet(topic)
-    stream = lambda: bus.file_stream(spark, topic, max_files_per_trigger=_par(spark))
+    env.filter(split).write.mode("append").parquet(topic)
+    stream = lambda: bus.file_stream(spark, topic, max_files_per_trigger=fx.files_per_batch(spark, topic))
     bronze_stream.run_available(stream(), f"{root}/bronze", f"{root}/_checkpoint", LENS_CONFIG)
-    env.filter(~split).repartition(_par(spark)).write.mode("append").parquet(topic)
+    env.filter(~split).write.mode("append").parquet(topic)
     bronze_stream.run_available(stream(), f"{root}/bronze", f"{root}/_checkpoint", LENS_CONFIG)
     return src.read_bronze(spark, f"{root}/bronze").groupBy("event_type").agg(
         F.count(F.lit(1)).alias("rows"),
@@ -161,8 +158,9 @@ def bronze_batch_summary(spark, sf):
     """Cached micro-batches: what the batches' summaries counted beside what landed, per event type."""
     root = scratch_path(spark, "cached")
     batches: list = []
+    topic = fx.topic(spark, sf)
     bronze_stream.run_available(
-        bus.file_stream(spark, fx.topic(spark, sf), max_files_per_trigger=_par(spark)),
+        bus.file_stream(spark, topic, max_files_per_trigger=fx.files_per_batch(spark, topic)),
         f"{root}/bronze", f"{root}/_checkpoint", LENS_CONFIG, summaries=batches, cache_batches=True)
     counted = [(t, n) for _, _, counts in batches for t, n in counts]  # at most six types a batch
     summarised = spark.createDataFrame(counted, "event_type string, n long").groupBy("event_type").agg(F.sum("n").alias("summarised"))

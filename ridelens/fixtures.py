@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from triplake.plans import jobs
+from triplake.schemas import ENVELOPE_SCHEMA
 from triplake.session import configure, scratch_path
 from ridelens import lens
 
@@ -20,9 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def envelopes(spark: SparkSession, sf_dir: str, least_tasks: int = 1) -> DataFrame:
     configure(spark)
-    return lens.envelopes(table(spark, sf_dir, "events"), table(spark, sf_dir, "region"))
+    return lens.envelopes(table(spark, sf_dir, "events"), table(spark, sf_dir, "region"), least_tasks)
 
 
 def seeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -49,22 +50,25 @@ def bronze_lake(spark: SparkSession, sf_dir: str) -> jobs.LakePaths:
 def topic(spark: SparkSession, sf_dir: str) -> str:
     """The lens messages as parquet files: the stand-in for a topic.
 
-    One file per core per micro-batch (two batches' worth), like a topic
-    with that many partitions.
+    One file per core per micro-batch, two batches' worth or more, like a
+    topic with that many partitions. The rides are dealt out before they are
+    expanded, so no message is shuffled.
     """
     k = _key(spark, sf_dir, "topic")
     if k not in _DONE:
         path = scratch_path(spark, "topic")
-        envelopes(spark, sf_dir).repartition(2 * parallelism(spark)).write.parquet(path)
+        envelopes(spark, sf_dir, 2 * parallelism(spark)).write.option("compression", "zstd").parquet(path)
         _DONE[k] = path
     return _DONE[k]
 
 
-def parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - remote session
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+parallelism = lens.parallelism
+
+
+def files_per_batch(spark: SparkSession, topic_path: str) -> int:
+    """Files a micro-batch takes so that two drain a topic; one per core at least."""
+    files = spark.read.schema(ENVELOPE_SCHEMA).parquet(topic_path).inputFiles()
+    return max(parallelism(spark), -(-len(files) // 2))
 
 
 def fresh_lake(spark: SparkSession, sf_dir: str, name: str) -> jobs.LakePaths:

@@ -150,3 +150,17 @@ def test_rides_of_one_row_group_are_dealt_evenly(spark, tmp_lake, monkeypatch):
     finally:
         for k, v in prev.items():
             spark.conf.set(k, v)
+
+
+def test_topic_files_hold_whole_rides(spark, tmp_lake):
+    """No message is shuffled on its way to the topic, and two micro-batches drain it."""
+    from ridelens import fixtures as fx
+
+    os.makedirs(tmp_lake)
+    _events(spark, 400).write.parquet(f"{tmp_lake}/events.parquet")
+    spark.createDataFrame([(0, "AFRICA")], "r_regionkey int, r_name string").write.parquet(f"{tmp_lake}/region.parquet")
+    topic = fx.topic(spark, tmp_lake)
+    files = spark.read.parquet(topic).select("key", F.input_file_name().alias("f"))
+    assert files.where("key IS NOT NULL").groupBy("key").agg(F.count_distinct("f").alias("n")).where("n > 1").isEmpty()
+    n = files.select("f").distinct().count()
+    assert n == 2 * fx.parallelism(spark) and n <= 2 * fx.files_per_batch(spark, topic)
