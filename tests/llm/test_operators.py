@@ -321,6 +321,31 @@ def test_repair_round_trip_and_random_access(spark, docs):
     assert len(shard["symbols"]) // 4 < shard["n_ids"]
 
 
+def test_new_words_are_encoded_many_to_a_text():
+    import pyarrow as pa
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, 0
+
+        def __getattr__(self, name):
+            def call(texts, **options):
+                self.texts += len(texts)
+                return getattr(self.tokenizer, name)(texts, **options)
+            return call
+
+    words = [" " + "".join(random.Random(k).choices("etaoinsrÉößİŉª", k=8)) for k in range(500)]
+    plain = [w for w in words if "İ" not in w and "ŉ" not in w]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        for own in (words, plain, [" a"]):
+            coder = encoder.Encoder(encoder.public_tokenizers.path(name))
+            alone = [coder.tokenizer.encode(w, add_special_tokens=False).ids for w in own]
+            coder.tokenizer = Counted(coder.tokenizer)
+            ids, at = coder.encode(*textarrays.flat(pa.array(own)))
+            assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == alone
+            assert own is words or coder.tokenizer.texts < 2 + len(own) / 10
+
+
 def test_encoder_equals_the_library_on_odd_texts():
     import pyarrow as pa
     import public_tokenizers

@@ -21,6 +21,10 @@ CACHE_CHUNKS = 1 << 20
 CACHE_LONG = 1 << 17
 # New chunks given to the library at once; its encodings take far more memory than the ids kept of them.
 LEARN_CHUNKS = 1 << 11
+# New words that are encoded as one text.
+TEXT_CHUNKS = 1 << 6
+# The letters below are composed already and combine with none of the others.
+LATIN_END = "\u0250"
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[0x21:0x7F] = 1 | 4  # printable ASCII, which is never white space
@@ -82,7 +86,8 @@ class Encoder:
             lost = self.slots[at] != entries
             entries, at = entries[lost], (at[lost] + 1) & mask
 
-    def _learn(self, chunks: list[str], low: np.ndarray, high: np.ndarray) -> None:
+    def _apart(self, chunks: list[str]) -> tuple[list[int], list[int]]:
+        """(number of ids of each chunk, all ids) with each chunk encoded by itself."""
         lengths: list[int] = []
         ids: list[int] = []
         for k in range(0, len(chunks), LEARN_CHUNKS):
@@ -90,7 +95,32 @@ class Encoder:
                 own = e.ids
                 lengths.append(len(own))
                 ids += own
-        flat = np.array(ids, np.uint32)
+        return lengths, ids
+
+    def _words(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``_apart`` of chunks that are a space and Latin letters: many are one text, in which each is one word.
+
+        The library numbers the words of a text; where that does not tell the chunks apart they are encoded one by one.
+        """
+        lengths, ids = [], []
+        for k in range(0, len(chunks), LEARN_CHUNKS):
+            part = chunks[k:k + LEARN_CHUNKS]
+            texts = [part[j:j + TEXT_CHUNKS] for j in range(0, len(part), TEXT_CHUNKS)]
+            for own, e in zip(texts, self.tokenizer.encode_batch(["".join(t) for t in texts], add_special_tokens=False)):
+                n, flat = np.bincount(np.array(e.word_ids, np.int64), minlength=len(own)), e.ids
+                if len(n) != len(own) or not n.all():
+                    n, flat = self._apart(own)
+                lengths.append(n)
+                ids.append(np.array(flat, np.uint32))
+        return (np.concatenate(lengths), np.concatenate(ids)) if ids else (np.zeros(0, np.int64), np.zeros(0, np.uint32))
+
+    def _learn(self, chunks: list[str], low: np.ndarray, high: np.ndarray) -> None:
+        word = np.array([c[0] == " " and c[1:].isalpha() and (c.isascii() or max(c) < LATIN_END) for c in chunks], bool)
+        lengths = np.zeros(len(chunks), np.int64)
+        lengths[word], own_ids = self._words([c for c, w in zip(chunks, word.tolist()) if w])
+        lengths[~word], other_ids = self._apart([c for c, w in zip(chunks, word.tolist()) if not w])
+        flat, mask = np.empty(len(own_ids) + len(other_ids), np.uint32), np.repeat(word, lengths)
+        flat[mask], flat[~mask] = own_ids, other_ids
         m = self.n + len(chunks)
         if m > len(self.low):
             size = max(2 * len(self.low), m)
