@@ -137,7 +137,8 @@ def test_rides_of_one_row_group_are_dealt_evenly(spark, tmp_lake, monkeypatch):
     from ridelens import lens
 
     _events(spark, 20000).coalesce(1).write.parquet(f"{tmp_lake}/events")
-    region = spark.createDataFrame([(0, "AFRICA")], "r_regionkey int, r_name string")
+    spark.createDataFrame([(0, "AFRICA")], "r_regionkey int, r_name string").write.parquet(f"{tmp_lake}/region")
+    region = spark.read.parquet(f"{tmp_lake}/region")  # of known size, so it is broadcast
     prev = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
     for k in prev:
         spark.conf.set(k, "4096")
