@@ -153,6 +153,27 @@ def test_rides_of_one_row_group_are_dealt_evenly(spark, tmp_lake, monkeypatch):
             spark.conf.set(k, v)
 
 
+def test_landing_is_dealt_evenly_and_parses_a_message_once(spark, tmp_lake):
+    """The step that every query over Bronze shares: no task expands and parses most rides of a one-row-group file."""
+    from ridelens import fixtures as fx
+    from ridelens import lens
+
+    os.makedirs(tmp_lake)
+    _events(spark, 20000).coalesce(1).write.parquet(f"{tmp_lake}/events.parquet")
+    spark.createDataFrame([(0, "AFRICA")], "r_regionkey int, r_name string").write.parquet(f"{tmp_lake}/region.parquet")
+    prev = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in prev:
+        spark.conf.set(k, "4096")
+    try:
+        landed = B.transform(fx.envelopes(spark, tmp_lake), lens.LENS_CONFIG)
+        assert plan_text(landed).count("from_json") == 1
+        tasks = [r["count"] for r in landed.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(tasks) < sum(tasks) / 2
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+
+
 def test_topic_files_hold_whole_rides(spark, tmp_lake):
     """No message is shuffled on its way to the topic, and two micro-batches drain it."""
     from ridelens import fixtures as fx
