@@ -123,6 +123,34 @@ def test_suffix_dedup_against_all_positions(spark, docs):
         assert by_content(map(tuple, got.collect())) == by_content(want)
 
 
+def test_a_hot_bucket_makes_few_rows_a_context(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    word = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes().decode()
+    passage, long = word(300), word(900)
+    texts = [word(300) + passage + word(300) for _ in range(150)]  # shared bytes, but fewer than a string has
+    for k in range(60):  # near copies: a byte differs, from one to the next elsewhere
+        at = int(rng.integers(0, 900))
+        texts.append(word(50) + long[:at] + "#" + long[at + 1:] + word(50))
+    texts += [long[k:k + 520 + k] for k in range(0, 300, 7)]
+    rows = {}
+
+    def written(df, name, *args, plain=store.written):
+        out = plain(df, name, *args)
+        rows.setdefault(name, []).append(out)
+        return out
+
+    monkeypatch.setattr(store, "written", written)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {hot: by_content(map(tuple, suffix_dedup.suffix_dedup(docs, bucket_contexts=hot).collect())) for hot in (2048, 2)}
+    assert got[2] == got[2048]
+    seen = collections.Counter(t[i:i + 400] for t in texts for i in range(len(t) - 399))
+    starts = {d: [i for i in range(len(t) - 399) if seen[t[i:i + 400]] > 1] for d, t in enumerate(texts)}
+    assert {r[0]: r[2] for r in got[2]} == {d: len({i + j for i in own for j in range(400)}) for d, own in starts.items()}
+    starts = rows["suffix-hot"][-1].selectExpr("sum(((at >> 12) & 4095) - (at & 4095) + 1) AS n").first().n
+    assert len(rows["suffix-ranges"]) == len(suffix_dedup.RANGES)
+    assert 4 * sum(r.count() for r in rows["suffix-ranges"]) < starts
+
+
 def test_long_texts_are_cut_into_blocks(spark, docs):
     plain = by_content(map(tuple, suffix_dedup.suffix_dedup(docs, length=60, minimiser=30).collect()))
     for block in (60, 97, 1000):
