@@ -411,6 +411,54 @@ def test_near_duplicates_in_a_large_group(spark):
     assert {r.doc_id: r.component_id for r in got} == label
 
 
+def test_strays_of_a_large_group_are_not_paired_with_it(spark, monkeypatch):
+    """A group of near copies, many with too many edits for it, some of which are like each other: components equal those
+    of all pairs, and no join makes more rows than a small multiple of the postings."""
+    r = random.Random(12)
+    base = [f"w{r.randrange(10**6)}" for _ in range(120)]
+
+    def edited(words, times):
+        w = list(words)
+        for at in sorted(r.sample(range(0, 120, 6), times), reverse=True):
+            w[at:at + r.choice([1, 1, 1, 2])] = [f"e{r.randrange(30)}"] * r.choice([1, 1, 1, 0])
+        return w
+
+    texts = [edited(base, k % 4) for k in range(160)]
+    strays = [edited(base, 4 + k % 2) for k in range(100)]
+    texts += strays + [edited(w[:100], 0) + w[100:-k] for k, w in enumerate(strays[::6], 1)]
+    data = [(1000 - k, " ".join(w)) for k, w in enumerate(texts)]
+    sets = {d: {tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for d, t in data}
+    label = {d: d for d in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            m = min(label[a], label[b])
+            changed |= label[a] != m or label[b] != m
+            label[a] = label[b] = m
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    made, postings = [], []
+    plain, joined = minhash_dedup._across, type(df).join
+
+    def across(live, *more):
+        def counted(self, *a, **b):
+            out = joined(self, *a, **b)
+            made.append(out.count())
+            return out
+
+        postings.append(live.count())
+        with monkeypatch.context() as m:
+            m.setattr(type(df), "join", counted)
+            return plain(live, *more)
+
+    monkeypatch.setattr(minhash_dedup, "_across", across)
+    got = minhash_dedup.near_duplicates(df).collect()
+    assert {x.doc_id: x.component_id for x in got} == label
+    assert len(set(label.values())) > 20 and len(postings) == 1 and postings[0] > 1000
+    assert max(made) <= 16 * postings[0], (made, postings)
+
+
 def test_one_row_of_each_group_stays(spark):
     """Rows that share an id or have none are decided each."""
     def near(seed):

@@ -12,6 +12,11 @@
    few of its shingles with any other to reach the similarity, and so do pairs whose shared shingles cannot or whose
    parity sketches differ in more bits than the sets may differ in elements; the rest is confirmed if it reaches the
    match threshold. These bounds are exact: none of them drops a link.
+   Lists with many members outside their largest component (a large group of near copies and its strays) are not paired:
+   their members meet in the elements by which they differ from one pivot of that component. Members within the
+   similarity of the pivot are linked with it. Of any other two in different components at least one is farther from
+   the pivot, so a link needs common differences, more the farther they are: some of their rarest must meet (a prefix).
+   This is exact too.
 5. Components of the confirmed links, by stars over the link table.
 
 A pair at similarity 0.75 has 48 of 64 expected matches; fewer than 28 happen with a probability below 1e-7.
@@ -41,6 +46,8 @@ STAR_ROUNDS = 2
 HUBS_A_ROUND = 3
 # Longs of a set's parity sketch: 2048 bits, each flipped by the elements that hash to it.
 SKETCH_LONGS = 32
+# Lists with more members than this outside their largest component are joined on differences from a pivot.
+OUTSIDE = 16
 SKETCH = [f"bits{i}" for i in range(SKETCH_LONGS)]
 NO_ID = np.iinfo(np.int64).min
 
@@ -74,11 +81,15 @@ def shingle_sets(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def signatures(h: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Minima of 64 hash functions over each (not empty) set, as 32-bit integers, a row a set."""
+    """Minima of 64 hash functions over each (not empty) set, as 32-bit integers, a row a set.
+
+    The whole 64-bit minimum is hashed down: its upper half is small in large sets, so that in large tables most
+    values of unlike sets would be equal by chance.
+    """
     out = np.empty((len(at) - 1, COORDINATES), np.int32)
     for k in range(COORDINATES):
-        v = (((h ^ _MIX[k]) * _MIX[COORDINATES - 1 - k]) >> np.uint64(32)).astype(np.uint32)
-        out[:, k] = np.minimum.reduceat(v, at[:-1]).view(np.int32)
+        v = np.minimum.reduceat((h ^ _MIX[k]) * _MIX[COORDINATES - 1 - k], at[:-1])
+        out[:, k] = ta.mixed(v).astype(np.uint32).view(np.int32)
     return out
 
 
@@ -219,9 +230,10 @@ def _grouped(docs: DataFrame) -> DataFrame:
     prefix = lists.select("rid", F.slice("keys.key", F.lit(1), F.size("keys") - LEAST_MATCHES + 1).alias("own"))
     prefix = prefix.select("rid", "own", F.explode("own").alias("key"))
     live = store.written(_undecided(_tagged(prefix, labels)), "minhash-live")
-    live = store.written(_undecided(live.join(_able(live, texts), "rid")), "minhash-able")
-    rest = store.written(_across(live), "minhash-across")
-    labels, _ = _joined(labels, _links(rest, reps, texts))
+    able = _able(live, texts)
+    live = store.written(_undecided(live.join(able, "rid")), "minhash-able")
+    rest, near = _across(live, able, texts)
+    labels, _ = _joined(labels, _links(store.written(rest, "minhash-across"), reps, texts).union(near))
 
     found = sets.select("set_a", "set_b", "n_shingles", "least_id", F.col("row_id").alias("id")).join(labels, "id", "left")
     found = found.withColumn("component", F.coalesce("component", "id"))
@@ -237,9 +249,8 @@ def _undecided(postings: DataFrame) -> DataFrame:
     return postings.join(open_, "key", "left_semi")
 
 
-def _able(live: DataFrame, texts: DataFrame) -> DataFrame:
-    """(rid, n, c) of representatives that can still have a link: of their n shingles c are in another live one too."""
-    ids = store.written(live.select("rid").distinct(), "minhash-live-ids")
+def _sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """(rid, h, parity sketch) of the wanted representatives; h: their distinct shingles."""
 
     def scan(batches):
         for batch in batches:
@@ -252,7 +263,12 @@ def _able(live: DataFrame, texts: DataFrame) -> DataFrame:
                     names=["rid", "h", *SKETCH])
 
     own = store.map_arrow(texts.join(store.maybe_broadcast(ids), "rid", "left_semi"), scan, "rid long, h array<long>, " + ", ".join(f"{x} long" for x in SKETCH))
-    own = own.dropDuplicates(["rid"])
+    return own.dropDuplicates(["rid"])
+
+
+def _able(live: DataFrame, texts: DataFrame) -> DataFrame:
+    """(rid, n, c) of representatives that can still have a link: of their n shingles c are in another live one too."""
+    own = _sets(texts, store.written(live.select("rid").distinct(), "minhash-live-ids"))
     each = own.select("rid", F.explode("h").alias("h"))
     shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
     c = each.join(shared, "h", "left_semi").groupBy("rid").agg(F.count(F.lit(1)).alias("c"))
@@ -260,25 +276,84 @@ def _able(live: DataFrame, texts: DataFrame) -> DataFrame:
     return store.written(able.where(10000 * F.col("c") >= 100 * SIMILARITY_PERCENT * F.col("n")), "minhash-able-ids")
 
 
-def _across(live: DataFrame) -> DataFrame:
-    """Pairs that share a key, are of different components and whose shared shingles suffice for the similarity.
+def _near() -> F.Column:
+    """Whether shared shingles (c, c_b) and sketches of two sets of n and n_b elements allow the similarity."""
+    least = F.least("c", "c_b") * (100 + SIMILARITY_PERCENT) >= SIMILARITY_PERCENT * (F.col("n") + F.col("n_b"))
+    # the sets may differ in this many elements; their sketches differ in no more bits than that
+    unlike = [F.bit_count(F.col(x).bitwiseXOR(F.col(f"{x}_b"))) for x in SKETCH]
+    return least & (sum(unlike[1:], unlike[0]) * (100 + SIMILARITY_PERCENT) <= (100 - SIMILARITY_PERCENT) * (F.col("n") + F.col("n_b")))
+
+
+def _across(live: DataFrame, able: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs that share a key, are of different components and may reach the similarity; and links found on the way.
 
     Of a key's members only those outside its most frequent component look for partners, so a large component of near
-    copies is not paired with itself.
+    copies is not paired with itself. Where these are many, ``_met`` finds the partners without pairing the list.
     """
     size = live.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
-    main = size.groupBy("key").agg(F.max(F.struct("k", "label"))["label"].alias("main"))
-    live = live.join(main, "key")
+    main = size.groupBy("key").agg(F.max(F.struct("k", "label")).alias("m"), F.sum("k").alias("k"))
+    main = store.written(main.select("key", F.col("m.label").alias("main"), (F.col("k") - F.col("m.k") > OUTSIDE).alias("wide")), "minhash-mains")
+    narrow = live.join(main.where("NOT wide").drop("wide"), "key")
     other = live.select("key", *(F.col(c).alias(f"{c}_b") for c in ("rid", "label", "n", "c", "own", *SKETCH)))
-    least = F.least("c", "c_b") * (100 + SIMILARITY_PERCENT) >= SIMILARITY_PERCENT * (F.col("n") + F.col("n_b"))
-    # the sets may differ in this many elements; their sketches differ in no more bits than that
-    unlike = [F.bit_count(F.col(x).bitwiseXOR(F.col(f"{x}_b"))) for x in SKETCH]
-    bits = sum(unlike[1:], unlike[0])
-    near = bits * (100 + SIMILARITY_PERCENT) <= (100 - SIMILARITY_PERCENT) * (F.col("n") + F.col("n_b"))
     once = (F.col("label_b") == F.col("main")) | (F.col("rid") < F.col("rid_b"))
     first = F.array_intersect("own", "own_b")[0] == F.col("key")  # of all lists they share, in one
-    return (live.where("label != main").join(other, "key").where((F.col("label") != F.col("label_b")) & once & least & near & first)
-            .select(F.least("rid", "rid_b").alias("a"), F.greatest("rid", "rid_b").alias("b")).distinct())
+    pairs = (narrow.where("label != main").join(other, "key").where((F.col("label") != F.col("label_b")) & once & _near() & first)
+             .select(F.least("rid", "rid_b").alias("a"), F.greatest("rid", "rid_b").alias("b")))
+    places = live.select("key", "rid", "label").join(main.where("wide").drop("wide"), "key")
+    places = store.written(places.groupBy("main", "rid").agg(F.first("label").alias("label"), F.count(F.lit(1)).alias("lists")), "minhash-wide")
+    if places.isEmpty():
+        return pairs.distinct(), pairs.limit(0)
+    met, links = _met(places, texts)
+    side = lambda x, end: able.select(F.col("rid").alias(x), *(F.col(c).alias(c + end) for c in ("n", "c", *SKETCH)))
+    met = met.join(side("a", ""), "a").join(side("b", "_b"), "b").where(_near()).select("a", "b")
+    return pairs.union(met).distinct(), links
+
+
+def _met(places: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of one ``main`` that may reach the similarity, and links of members with the pivot: places (main, rid, label, lists).
+
+    The pivot is the member of the main component that is in most lists. d is the number of elements by which a set differs
+    from the pivot's, far whether that is too many for a link. Two sets differ in at most ``d + d_b - 2 * common``
+    elements (common: differences that both have), so they are only similar if
+    ``2 * common >= d + d_b - part * (n + n_b)``, part being the share of their sizes that similar sets differ in.
+    """
+    gap, whole = 100 - SIMILARITY_PERCENT, 100 + SIMILARITY_PERCENT  # part is gap / whole; no similar set has over 100 / SIMILARITY_PERCENT times as many elements
+    sets = store.written(_sets(texts, store.written(places.select("rid").distinct(), "minhash-wide-ids")).select("rid", "h"), "minhash-wide-sets")
+    pivot = places.where("label = main").groupBy("main").agg(F.max(F.struct("lists", "rid"))["rid"].alias("pivot"))
+    pivot = store.written(pivot.join(sets, F.col("pivot") == F.col("rid")).select("main", "pivot", F.col("h").alias("base")), "minhash-pivots")
+    own = places.drop("lists").join(sets, "rid").join(store.maybe_broadcast(pivot), "main")
+    own = own.select("main", "rid", "label", "pivot", F.size("h").cast("long").alias("n"), F.size("base").cast("long").alias("m"),
+                     F.concat(F.array_except("h", "base"), F.array_except("base", "h")).alias("diff"))
+    own = own.withColumn("d", F.size("diff").cast("long")).withColumn("far", whole * F.col("d") > gap * (F.col("n") + F.col("m")))
+    own = store.written(own, "minhash-apart")
+    links = own.where("NOT far AND label != main").select(F.least("rid", "pivot").alias("a"), F.greatest("rid", "pivot").alias("b"))
+
+    # differences that two or more members have, the rarest first; those of one only would come before them
+    each = own.select("main", "rid", F.explode("diff").alias("h"))
+    again = each.groupBy("main", "h").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    rare = each.join(again, ["main", "h"]).groupBy("main", "rid").agg(F.array_sort(F.collect_list(F.struct("k", "h"))).alias("e"))
+    rare = store.written(own.drop("diff", "pivot").join(rare, ["main", "rid"]).withColumn(
+        "seeks", F.col("far") & (F.col("label") != F.col("main"))), "minhash-rare")
+    # the least number of common differences: of one that is met, and of one that seeks; if both seek, the farther one does
+    met_least = F.greatest(F.expr(f"({whole} * d - {gap} * (n - m)) div {2 * whole} + 1"), F.when(
+        F.col("seeks"), F.ceil(F.col("d") - gap * F.col("n") / (2 * SIMILARITY_PERCENT))).otherwise(F.ceil(F.col("d") - gap * F.col("n") / SIMILARITY_PERCENT)))
+    seek_least = F.greatest(F.lit(1), F.ceil(F.col("d") - gap * F.col("n") / SIMILARITY_PERCENT))
+
+    def prefix(t: DataFrame, least) -> DataFrame:
+        single = F.col("d") - F.size("e")
+        return t.select("main", "rid", "label", "n", "d", "seeks", single.alias("single"), F.posexplode(F.slice(
+            "e", F.lit(1), F.greatest(F.lit(0), F.col("d") - least + 1 - single).cast("int"))).alias("at", "x")).select(
+            "main", "rid", "label", "n", "d", "seeks", (F.col("single") + F.col("at")).alias("at"), F.col("x.h").alias("h"))
+
+    right = prefix(rare, met_least)
+    right = right.select("main", "h", *(F.col(c).alias(f"{c}_b") for c in ("rid", "label", "n", "d", "seeks", "at")))
+    once = ~F.col("seeks_b") | (F.struct("d_b", "rid_b") < F.struct("d", "rid"))
+    fits = 100 * F.least("n", "n_b") >= SIMILARITY_PERCENT * F.greatest("n", "n_b")
+    # where the first common difference stands, at most this many are common
+    most = F.least(F.col("d") - F.col("at"), F.col("d_b") - F.col("at_b"))
+    enough = whole * (2 * most - F.col("d") - F.col("d_b")) + gap * (F.col("n") + F.col("n_b")) >= 0
+    pairs = prefix(rare.where("seeks"), seek_least).join(right, ["main", "h"]).where((F.col("label") != F.col("label_b")) & once & fits & enough)
+    return store.written(pairs.select(F.least("rid", "rid_b").alias("a"), F.greatest("rid", "rid_b").alias("b")).distinct(), "minhash-met"), links
 
 
 def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
